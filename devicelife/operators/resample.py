@@ -67,7 +67,8 @@ def one_hot(df: DataFrame, cols, cats: dict[str, list] | None = None, sep: str =
             drop: bool = True) -> tuple[DataFrame, list[str]]:
     """Replace each category column with 0/1 int columns ``<col><sep><value>``.
 
-    The null category gets no column (a null row is 0 everywhere). Returns
+    The null category gets no column (a null row is 0 everywhere). Dots in
+    values become ``_`` in the names (``Basal Rate (U/h)_0_8``). Returns
     the frame and the list of generated column names. ``cats`` fixes the
     columns up front; otherwise they are read from the data.
     """
@@ -77,7 +78,8 @@ def one_hot(df: DataFrame, cols, cats: dict[str, list] | None = None, sep: str =
     flags, names = [], []
     for c in cols:
         for v in cats.get(c, []):
-            name = f"{c}{sep}{v}"
+            # a dot in a Spark column name reads as struct access: use "_"
+            name = f"{c}{sep}{v}".replace(".", "_")
             names.append(name)
             flags.append(F.when(F.col(c) == F.lit(v), 1).otherwise(0).cast("int").alias(name))
     keep = [x for x in df.columns if not (drop and x in cols)]

@@ -164,10 +164,20 @@ def header_names(rows: DataFrame) -> dict[int, list[tuple[int, str]]]:
     return by_section
 
 
-def section_table(rows: DataFrame, section: int, names: list[tuple[int, str]], dedup: bool = True) -> DataFrame:
-    """Data rows of one section from all files, named columns only."""
+def section_table(rows: DataFrame, section: int, names: list[tuple[int, str]], dedup: bool = True,
+                  devices: DataFrame | None = None, device_col: str = "device") -> DataFrame:
+    """Data rows of one section from all files, named columns only.
+
+    ``devices`` (``_file``, ``device_col``; one row per file) tags each row
+    with its device, so overlapping exports of one device still dedup
+    while different devices stay apart.
+    """
     body = rows.where((F.col("section_id") == section) & ~F.col("_is_delim") & ~F.col("_is_header"))
-    out = body.select(*[F.col(CELLS[i]).alias(n) for i, n in names])
+    cols = [F.col(CELLS[i]).alias(n) for i, n in names]
+    if devices is not None:
+        body = body.join(devices, "_file", "left")
+        cols = [F.col(device_col)] + cols
+    out = body.select(*cols)
     return out.distinct() if dedup else out
 
 
@@ -185,13 +195,22 @@ class Report:
 
 
 def read_report(spark: SparkSession, paths, width: int = WIDTH, dedup: bool = True,
-                chunked: bool = True) -> Report:
+                chunked: bool = True, device_key: str | None = None, device_col: str = "device") -> Report:
+    """Read report files into their tables.
+
+    ``device_key`` names a file-header field (a serial number, say) whose
+    value becomes a ``device_col`` column on every table row.
+    """
     rows = mark_sections(read_report_rows(spark, paths, width), chunked)
     names = header_names(rows)
-    tables = [section_table(rows, sec, names[sec], dedup) for sec in sorted(names)]
+    hdr = file_header(rows)
+    devices = None
+    if device_key is not None:
+        devices = hdr.where(F.col("key") == device_key).groupBy(F.col("file").alias("_file")).agg(
+            F.min("value").alias(device_col))
+    tables = [section_table(rows, sec, names[sec], dedup, devices, device_col) for sec in sorted(names)]
     titles = section_meta(rows)
     table_meta = merge_meta(titles.where(F.col("section_id") > 0))
-    hdr = file_header(rows)
     return Report(tables, table_meta, fold_metadata_long(hdr), hdr, rows)
 
 
