@@ -25,8 +25,21 @@ def epoch_micros(c) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def _pexprs(df: DataFrame, s: Series) -> list[Column]:
+    """Window partition columns: keys, or (non-null key stand-ins, chunk)."""
+    return [F.col(c) for c in s.part_cols()]
+
+
+def _win(df: DataFrame, s: Series, desc: bool = False):
+    return Window.partitionBy(*_pexprs(df, s)).orderBy(*(s.order_desc() if desc else s.order()))
+
+
+def _running(df: DataFrame, s: Series):
+    return _win(df, s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _chunk_order(s: Series, desc: bool = False):
-    w = Window.partitionBy(*s.keys)
+    w = Window.partitionBy(*s.key_cols())
     return w.orderBy(F.col(s.chunk).desc() if desc else F.col(s.chunk))
 
 
@@ -36,7 +49,7 @@ def _chunk_order(s: Series, desc: bool = False):
 
 def running_sums(df: DataFrame, s: Series, exprs: dict[str, Column]) -> DataFrame:
     """Add running (inclusive) sums of each expression along the series."""
-    out = df.select("*", *[F.sum(e).over(s.running()).alias(n) for n, e in exprs.items()])
+    out = df.select("*", *[F.sum(e).over(_running(df, s)).alias(n) for n, e in exprs.items()])
     if not s.chunk:
         return out
     tot = df.groupBy(*s.part_cols()).agg(*[F.sum(e).alias(f"_tot_{n}") for n, e in exprs.items()])
@@ -52,7 +65,7 @@ def running_sums(df: DataFrame, s: Series, exprs: dict[str, Column]) -> DataFram
 def row_index(df: DataFrame, s: Series, name: str = "_rn") -> DataFrame:
     """1-based position of each row in its series (row_number, chunk-safe)."""
     if not s.chunk:
-        return df.withColumn(name, F.row_number().over(s.window()).cast("long"))
+        return df.withColumn(name, F.row_number().over(_win(df, s)).cast("long"))
     return running_sums(df, s, {name: F.lit(1).cast("long")})
 
 
@@ -62,7 +75,7 @@ def row_index(df: DataFrame, s: Series, name: str = "_rn") -> DataFrame:
 
 def fill_forward(df: DataFrame, s: Series, exprs: dict[str, Column]) -> DataFrame:
     """Last non-null value at or before each row (forward fill)."""
-    out = df.select("*", *[F.last(e, ignorenulls=True).over(s.running()).alias(n)
+    out = df.select("*", *[F.last(e, ignorenulls=True).over(_running(df, s)).alias(n)
                            for n, e in exprs.items()])
     if not s.chunk:
         return out
@@ -83,7 +96,7 @@ def fill_backward(df: DataFrame, s: Series, exprs: dict[str, Column]) -> DataFra
     """First non-null value at or after each row (backward fill)."""
     # A growing frame in reverse order; a "current row to unbounded
     # following" frame would be recomputed for every row.
-    rev = Window.partitionBy(*s.part_cols()).orderBy(*s.order_desc()).rowsBetween(
+    rev = _win(df, s, desc=True).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = df.select("*", *[F.last(e, ignorenulls=True).over(rev).alias(n) for n, e in exprs.items()])
     if not s.chunk:
@@ -113,16 +126,16 @@ def lags(df: DataFrame, s: Series, specs: dict[str, tuple[Column, int]]) -> Data
     edge table, ordered across chunks, are exact for a chunk's first rows,
     because every row between such a row and its target is an edge row too.
     """
-    out = df.select("*", *[F.lag(e, k).over(s.window()).alias(n) for n, (e, k) in specs.items()])
+    out = df.select("*", *[F.lag(e, k).over(_win(df, s)).alias(n) for n, (e, k) in specs.items()])
     if not s.chunk:
         return out
     kmax = max(k for _, k in specs.values())
-    w = s.window()
+    w = _win(df, s)
     out = out.withColumn("_lrn", F.row_number().over(w)).withColumn(
-        "_lcnt", F.count(F.lit(1)).over(s.whole()))
+        "_lcnt", F.count(F.lit(1)).over(Window.partitionBy(*_pexprs(df, s))))
     edge = out.where((F.col("_lrn") <= kmax) | (F.col("_lcnt") - F.col("_lrn") < kmax)).select(
         *s.part_cols(), *s.order_cols(), "_lrn", *[e.alias(f"_e_{n}") for n, (e, _) in specs.items()])
-    across = Window.partitionBy(*s.keys).orderBy(F.col(s.chunk), *s.order())
+    across = Window.partitionBy(*s.key_cols()).orderBy(F.col(s.chunk), *s.order())
     fixed = edge.select(*s.part_cols(), "_lrn", *[
         F.lag(f"_e_{n}", k).over(across).alias(f"_x_{n}") for n, (_, k) in specs.items()]).where(
         F.col("_lrn") <= kmax)
@@ -145,7 +158,7 @@ def next_times(df: DataFrame, s: Series, conds: dict[str, Column]) -> DataFrame:
     timestamp of any row.
     """
     us = epoch_micros(s.ts)
-    later = Window.partitionBy(*s.part_cols()).orderBy(us.desc()).rangeBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*_pexprs(df, s)).orderBy(us.desc()).rangeBetween(Window.unboundedPreceding, -1)
     out = df.select("*", *[F.min(F.when(c, us)).over(later).alias(n) for n, c in conds.items()])
     if not s.chunk:
         return out

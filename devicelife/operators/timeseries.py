@@ -61,7 +61,8 @@ def backcast_seed(df: DataFrame, s: Series, value: str, cols, k: int = 12,
     All seed values are null except on the earliest seed row, whose ``cols``
     hold the back-cast ``v0 + k * slope``. Columns: keys, ts, cols, is_seed.
     """
-    first = first_k_non_null(df.select(*s.part_cols(), *s.order_cols(), *cols), s, value, k, "_srn")
+    first = first_k_non_null(df.select(*dict.fromkeys([*s.keys, *s.part_cols(), *s.order_cols(), *cols])),
+                             s, value, k, "_srn")
     slopes = seed_slopes(first, s, cols, k, "_srn", jitter, seed)
     rows = attach_aggregates(first.select(*s.keys, s.ts, "_srn"), slopes, s.keys)
     ts_t = df.schema[s.ts].dataType.simpleString()

@@ -64,7 +64,7 @@ def series(df: DataFrame, chunked: bool | None = None) -> tuple[DataFrame, Serie
 
 
 def done(df: DataFrame, s: Series) -> DataFrame:
-    return rounded(df.drop(s.chunk) if s.chunk else df)
+    return rounded(df.drop(*s.helper_cols()))
 
 
 EVV = ("SELECT event_id, user_id, ts, event_type, value, props, "
@@ -163,7 +163,7 @@ FROM events""")
 def q_section_split(spark, sf):
     ev, s = series(load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type"))
     out = report.split_sections(ev, s, F.col("event_type") == "signup", "section_id")
-    return done(out.select("event_id", "user_id", "section_id", *([s.chunk] if s.chunk else [])), s)
+    return done(out.select("event_id", "user_id", "section_id", *s.helper_cols()), s)
 
 
 UNION_SQL = """
@@ -496,7 +496,7 @@ UNION ALL SELECT user_id, ts, NULL, round(v, 6), true FROM seeds""")
 def q_union_seed(spark, sf):
     ev, s = series(events(spark, sf).select("user_id", "ts", "event_id", "v"))
     seeds = ts_ops.backcast_seed(ev, s, "v", ["v"])
-    base = ev.drop(s.chunk) if s.chunk else ev
+    base = ev.drop(*s.helper_cols())
     return rounded(ts_ops.union_seed(base, seeds).select("user_id", "ts", "event_id", "v", "is_seed"))
 
 
@@ -520,7 +520,7 @@ FROM p""")
 def q_interpolate_linear(spark, sf):
     ev, s = series(events(spark, sf).select("event_id", "user_id", "ts", "v"))
     out = ts_ops.interpolate_linear(ev, s, ["v"])
-    return done(out.select("event_id", "v", *([s.chunk] if s.chunk else [])), s)
+    return done(out.select("event_id", "v", *s.helper_cols()), s)
 
 
 @register("forward_fill", f"""
@@ -528,7 +528,7 @@ SELECT event_id, round(coalesce(last_value(v IGNORE NULLS) OVER ({RUNNING}), 0),
 def q_forward_fill(spark, sf):
     ev, s = series(events(spark, sf).select("event_id", "user_id", "ts", "v"))
     out = ts_ops.forward_fill(ev, s, ["v"], default=0.0)
-    return done(out.select("event_id", "v", *([s.chunk] if s.chunk else [])), s)
+    return done(out.select("event_id", "v", *s.helper_cols()), s)
 
 
 @register("lag_columns", f"""
@@ -537,7 +537,7 @@ SELECT event_id, lag(v, 3) OVER ({W_USER}) AS v_15m, lag(v, 6) OVER ({W_USER}) A
 def q_lag_columns(spark, sf):
     ev, s = series(events(spark, sf).select("event_id", "user_id", "ts", "v"))
     out = ts_ops.lag_columns(ev, s, ["v"])
-    return done(out.select("event_id", "v_15m", "v_30m", "v_60m", *([s.chunk] if s.chunk else [])), s)
+    return done(out.select("event_id", "v_15m", "v_30m", "v_60m", *s.helper_cols()), s)
 
 
 @register("lag_deltas", f"""
@@ -596,7 +596,7 @@ def _sessions(spark, sf):
 @register("session_id", SESS + ' SELECT event_id, user_id, "group" FROM g')
 def q_session_id(spark, sf):
     g, s = _sessions(spark, sf)
-    return done(g.select("event_id", "user_id", "group", *([s.chunk] if s.chunk else [])), s)
+    return done(g.select("event_id", "user_id", "group", *s.helper_cols()), s)
 
 
 @register("group_first", SESS + ' SELECT user_id, "group", Start_Time FROM st')

@@ -195,7 +195,7 @@ def engineer(flat: DataFrame, cfg: PrepConfig, flags: list[str]) -> DataFrame:
     feats = feats.withColumn("_end", F.coalesce(end, F.lit(False)))
     feats = ts_ops.lookahead(feats, s, F.col("_end"), cfg.horizons)
     feats = ts_ops.finish_labels(feats, s, list(cfg.horizons), F.col("_end"))
-    return feats.drop("_end", "_tb", s.chunk)
+    return feats.drop("_end", "_tb", *s.helper_cols())
 
 
 def prepare(readings: DataFrame, cfg: PrepConfig | None = None, typed: bool = False) -> DataFrame:

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 CHUNK_COL = "_chunk"
+_DEFAULTS = {"bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0, "float": 0.0,
+             "string": "", "boolean": False}
 DEFAULT_CHUNK_ROWS = 2_000_000
 
 
@@ -30,6 +32,7 @@ class Series:
     ts: str = "Datetime"
     tb: tuple[str, ...] = ()
     chunk: str | None = None
+    surrogates: tuple[str, ...] = ()   # non-null stand-ins for keys, set when chunked
 
     @staticmethod
     def of(keys=(), ts="Datetime", tb=()) -> "Series":
@@ -48,7 +51,14 @@ class Series:
 
     # -- windows --------------------------------------------------------
     def part_cols(self) -> list[str]:
-        return [*self.keys, self.chunk] if self.chunk else list(self.keys)
+        return [*self.surrogates, self.chunk] if self.chunk else list(self.keys)
+
+    def key_cols(self) -> list[str]:
+        return list(self.surrogates) if self.chunk else list(self.keys)
+
+    def helper_cols(self) -> list[str]:
+        """Columns added by :func:`with_chunks` (drop them from results)."""
+        return [self.chunk, *self.surrogates] if self.chunk else []
 
     def window(self):
         """Ordered window of one series (or of one chunk when chunked)."""
@@ -65,7 +75,7 @@ class Series:
         return Window.partitionBy(*self.keys)
 
     def unchunked(self) -> "Series":
-        return replace(self, chunk=None)
+        return replace(self, chunk=None, surrogates=())
 
 
 def ordinal(df: DataFrame, col: str) -> Column:
@@ -100,8 +110,20 @@ def with_chunks(df: DataFrame, s: Series, rows_per_chunk: int | None = None) ->
                        / F.greatest(F.col("_cn"), F.lit(1)))
     stats = stats.select(*s.keys, "_c0", width.alias("_cw"))
     out = attach_aggregates(df, stats, s.keys)
-    out = out.withColumn(CHUNK_COL, F.floor((o - F.col("_c0")) / F.col("_cw")).cast("long")).drop("_c0", "_cw")
-    return out, replace(s, chunk=CHUNK_COL)
+    # null time sorts first: chunk -1
+    chunk = F.coalesce(F.floor((o - F.col("_c0")) / F.col("_cw")).cast("long"), F.lit(-1).cast("long"))
+    out = out.withColumn(CHUNK_COL, chunk).drop("_c0", "_cw")
+    # Non-null stand-ins for the keys: chunk windows partition by them and
+    # the per-chunk summaries join back on them with a plain equi-join, whose
+    # required distribution the windows' shuffle already provides.
+    sur = []
+    for i, k in enumerate(s.keys):
+        t = df.schema[k].dataType.simpleString()
+        v = F.coalesce(F.col(k), F.lit(_DEFAULTS[t]).cast(t)) if t in _DEFAULTS else \
+            F.coalesce(F.col(k).cast("string"), F.lit(""))
+        out = out.withColumn(f"_sk{i}", v).withColumn(f"_sn{i}", F.isnull(F.col(k)))
+        sur += [f"_sk{i}", f"_sn{i}"]
+    return out, replace(s, chunk=CHUNK_COL, surrogates=tuple(sur))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "left") -> DataFrame:
@@ -117,6 +139,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str
         cond = e if cond is None else cond & e
     if not cols:
         raise ValueError("null_safe_join needs at least one key column")
+    if all(not left.schema[c].nullable and not right.schema[c].nullable for c in cols):
+        return left.join(right, on=list(cols), how=how)   # plain keys: no null handling needed
     return left.join(r, cond, how).drop(*renamed.values())
 
 

@@ -74,7 +74,7 @@ def mark_sections(rows: DataFrame, chunked: bool = True) -> DataFrame:
     rows = split_sections(rows, s, F.col("_is_delim"))
     rows = scan.lags(rows, s, {"_after_delim": (F.col("_is_delim"), 1)})
     rows = rows.withColumn("_is_header", F.coalesce(F.col("_after_delim"), F.lit(False)) & (F.col("section_id") > 0))
-    return rows.drop("_after_delim", *([s.chunk] if s.chunk else []))
+    return rows.drop("_after_delim", *s.helper_cols())
 
 
 def file_header(rows: DataFrame, last_fixed: str = HEADER_LAST) -> DataFrame:

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source works on finished export files only: it has no stream, watermark
+or stateful operator, so nothing is built here. The batch plans already run
+per device and per time order, so new exports are handled by re-running
+:func:`devicelife.sources.report.read_report` on the new files and unioning
+the prepared rows.
+"""
