@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (once per Spark context)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_devicelife_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="devicelife-")) / "devicelife.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._devicelife_shipped = True
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: later steps re-read it, and a
     lost executor costs a re-read, not a recomputation of what came before."""
@@ -112,3 +130,50 @@ def with_columns(batch: pa.RecordBatch, new: dict, schema: pa.Schema, drop: tupl
     for f in schema:
         arrays.append(pa.array(new[f.name], type=f.type) if f.name in new else batch.column(batch.schema.get_field_index(f.name)).cast(f.type))
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, max_rows: int, id_col: str = "doc_id",
+                    text_col: str = "text", keep: Column | None = None) -> tuple[DataFrame, dict]:
+    """Texts of at most about ``max_rows`` labelled rows, an equal number of each label value (chosen by
+    the hash of the id), as (_label, _text); and how many rows each value has in all.
+
+    The chosen ids (``max_rows`` of them) are broadcast to the scan of the texts. A null label
+    teaches nothing; of an id's several labels the largest counts.
+    """
+    known = labels.groupBy(id_col).agg(F.max(label).alias("_label")).filter(F.col("_label").isNotNull() & F.col(id_col).isNotNull())
+    if keep is not None:
+        known = known.filter(keep)
+    counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
+    if not counts:
+        return cut(known.select("_label", F.lit("").alias("_text"))), {}
+    each = max(1, max_rows // len(counts))
+    million = F.lit(1_000_000)
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(np.ceil(1e6 * min(1.0, each / n)))))])
+    chosen = known.filter(F.pmod(F.xxhash64(id_col, F.lit(3)), million) < F.element_at(share, F.col("_label")))
+    texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return cut(texts.join(F.broadcast(chosen), id_col).select("_label", "_text").repartition(16)), counts
+
+
+def words_of(cp: np.ndarray, starts: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of the runs of ``inside`` and the text each belongs to."""
+    s, e = runs(inside)
+    return s, e, np.searchsorted(starts, s, side="right") - 1
+
+
+_LOWER = _ALNUM = None
+
+
+def letter_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case code point (one to one) and whether it is a letter or digit, by code point."""
+    global _LOWER, _ALNUM
+    if _LOWER is None:
+        lower, alnum = np.arange(0x110000, dtype=np.uint32), np.zeros(0x110000, dtype=bool)
+        for c in range(0x110000):
+            ch = chr(c)
+            if ch.isalnum():
+                alnum[c] = True
+                low = ch.lower()
+                if len(low) == 1:
+                    lower[c] = ord(low)
+        _LOWER, _ALNUM = lower, alnum
+    return _LOWER, _ALNUM

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_automaton, chunk_dedup, mixing
-from .common import table
+from . import bpe_automaton, chunk_dedup, html_extract, language_id, mixing, near_dedup, nearest, quality, toxicity
+from .common import fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,7 +17,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(f):
-        QUERIES[name] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql
         return f
@@ -44,7 +50,53 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = language_id.fit(docs.filter(~held_out))
+    return (language_id.identify(docs, model).withColumn("held_out", held_out)
+            .select("doc_id", "held_out", "lang_pred", "score", "ambiguous"))
+
+
 @query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe_automaton.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # grades: 0 poor, 1 well written but toxic, 2 well written and clean
+    rating = F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 3) == 1
+    model = quality.fit(docs, labels, rating, keep=~held_out)
+    return (quality.grade(docs, model).withColumn("held_out", held_out)
+            .select("doc_id", "held_out", "expected_grade", "p_tail", "selected"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 3) == 1
+    model = toxicity.fit(docs, labels, keep=~held_out)
+    return (toxicity.score(docs, model).withColumn("held_out", held_out)
+            .select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                    F.size("spans").alias("n_spans"), "spans"))
+
+
+@query("op5_nearest")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op10_html")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract_pages(pages, html_extract.fit(pages))
