@@ -103,3 +103,16 @@ def _recipes(cutup: DataFrame, numbered: DataFrame, chunk_hash) -> DataFrame:
     joined = plain.join(hot.withColumnRenamed("_row", "_other"), F.col("_row").eqNullSafe(F.col("_other")), "left")
     return joined.select("_id", "_len", "text_sha256", F.transform(
         "_recipe", lambda ident, i: F.coalesce(F.element_at("_named", i), ident)).alias("_recipe"))
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    kept = exact_groups(docs, id_col, text_col, **settings).filter("kept")
+    kept = cut(kept.select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")))
+    if docs.groupBy(id_col).count().filter("count > 1").isEmpty():
+        return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi").select(*docs.columns)
+    # ids that repeat: also by content, and one of the rows that repeat both
+    own = docs.withColumn("__own", F.sha2(normalised(text_col), 256))
+    own = own.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha")), "left_semi")
+    first = Window.partitionBy(id_col, "__own").orderBy(F.char_length(text_col).desc_nulls_last(), *docs.columns)
+    return own.withColumn("__copy", F.row_number().over(first)).filter(F.col("__copy") == 1).select(*docs.columns)

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import SPACE_CLASS, cut
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -95,7 +95,8 @@ def sainte_lague(df: DataFrame, share: str, seats: str, order: list[str], within
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: int = 2, block: int = 32,
         shard_words: int = 1 << 18, seed: int = 17) -> DataFrame:
-    """One row per row of ``docs``: id, size, source_size, target, taken, n_blocks (blocks its words are in).
+    """One row per row of ``docs``: id, size, source_size, target, taken, n_blocks (chosen blocks its
+    words are in), passes (whole ones) and ranges (words taken besides, as at and words), _key.
 
     ``weights`` repeat over the sources in code point order (null last);
     ``share`` times all words are wanted; ``cap`` bounds how often a source
@@ -155,8 +156,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # a partly taken block gives its first words
     hit = pieces.join(blocks, ["position", "_shard", "_block"])
     part = F.least("_stop", F.col("_block") * b + F.col("_take")) - F.greatest("_start", F.col("_block") * b)
-    got = hit.groupBy("position", "_shard", "_start").agg(F.sum(F.greatest(F.lit(0), part)).alias("_part"),
-                                                          F.count("*").alias("n_blocks"))
+    # the words taken of the last pass, as ranges of the document's words
+    lo = F.greatest("_start", F.col("_block") * b) - F.col("_start")
+    hit = hit.select("position", "_shard", "_start", lo.alias("_lo"), F.greatest(F.lit(0), part).alias("_n"))
+    got = hit.filter("_n > 0").groupBy("position", "_shard", "_start").agg(
+        F.sum("_n").alias("_part"), F.count("*").alias("n_blocks"),
+        F.array_sort(F.collect_list(F.struct(F.col("_lo").alias("at"), F.col("_n").alias("words")))).alias("_ranges"))
     full = shards.select("position", "_shard", "_passes")
     out = (placed.join(full, ["position", "_shard"], "left")
            .join(got.withColumn("_some", F.lit(True)), ["position", "_shard", "_start"], "left"))
@@ -165,4 +170,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col("_id").alias(id_col), F.col("_size").alias("size"), "source_size", "target",
         F.when(some, F.col("_size") * F.coalesce("_passes", F.lit(0)) + F.coalesce("_part", F.lit(0)))
         .otherwise(0).cast("long").alias("taken"),
-        F.when(some, F.coalesce("n_blocks", F.lit(0))).otherwise(0).cast("long").alias("n_blocks"))
+        F.when(some, F.coalesce("n_blocks", F.lit(0))).otherwise(0).cast("long").alias("n_blocks"),
+        F.when(some, F.coalesce("_passes", F.lit(0))).otherwise(0).cast("long").alias("passes"),
+        F.when(some, F.col("_ranges")).alias("ranges"), "_key")
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each whole pass over a document and
+    one with the words taken of it besides. Documents without taken words go; rows that repeat id
+    and text are treated alike."""
+    seed = settings.get("seed", 17)
+    plan = mix(docs, id_col, text_col, **settings).filter("taken > 0")
+    plan = plan.groupBy(F.col(id_col).alias("__id"), F.col("_key").alias("__key")).agg(F.max(F.struct("passes", "ranges")).alias("__plan"))
+    key = F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed))
+    joined = docs.withColumn("__own", key).join(plan, (F.col("__own") == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id")))
+    copies = F.transform(F.sequence(F.lit(1), F.col("__plan.passes").cast("int")), lambda _: F.lit(None).cast(plan.schema["__plan"].dataType["ranges"].dataType))
+    copies = F.when(F.col("__plan.passes") > 0, copies).otherwise(F.slice(copies, 1, 0))
+    rest = F.when(F.col("__plan.ranges").isNotNull(), F.array("__plan.ranges")).otherwise(F.slice(copies, 1, 0))
+    joined = joined.withColumn("__part", F.explode(F.concat(copies, rest)))
+    words = F.regexp_extract_all(F.col(text_col), F.lit(SPACE_CLASS + "*" + WORD), F.lit(0))
+    some = F.array_join(F.transform("__part", lambda r: F.ltrim(F.array_join(
+        F.slice(words, (r.at + 1).cast("int"), r.words.cast("int")), ""))), "\n")
+    out = joined.withColumn(text_col, F.when(F.col("__part").isNull(), F.col(text_col)).otherwise(some))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__part").isNull(), F.col("n_chars"))
+                             .otherwise(F.char_length(text_col)).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

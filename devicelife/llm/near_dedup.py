@@ -250,3 +250,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = grouped.join(summary, "_comp").select("_class", F.col("_rep").alias("class_id"), "group_id", "group_size")
     return signed.select("_id", "_class").join(named, "_class").select(
         F.col("_id").alias(id_col), "class_id", "group_id", "group_size", F.col("_id").eqNullSafe(F.col("group_id")).alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` whose id is their group's (rows that share an id stay or go together)."""
+    kept = cut(near_groups(docs, id_col, text_col, **settings).filter("kept").select(F.col(id_col).alias("__id")))
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi").select(*docs.columns)

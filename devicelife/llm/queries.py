@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, chunk_dedup, html_extract, language_id, mixing, near_dedup, nearest, quality, toxicity
+from . import (bpe_automaton, chunk_dedup, html_extract, language_id, mixing, near_dedup, nearest, quality,
+               suffix_dedup, toxicity)
 from .common import fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,7 +48,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "n_blocks")
 
 
 @query("op7_language")
@@ -100,3 +101,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extract.extract_pages(pages, html_extract.fit(pages))
+
+
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
