@@ -16,13 +16,13 @@ their weighted sets.
 * Verification: the exact probability Jaccard of the shingle sets, at least
   ``similarity``.
 * Groups: connected components. Pairs inside a bucket are not all listed:
-  a class is checked against its buckets' leaders (one a bucket and round,
+  a class is checked against one leader of its buckets a round (leaders are
   chosen by another hash each round); after each round components are
   formed, and only buckets that still hold more than one component go on.
-  What is left after ``leader_rounds`` is checked in full between the
-  components of a bucket (all but its largest one against all). So every
-  candidate pair is either verified or already inside one group: no link
-  between groups is lost.
+  Classes left after ``leader_rounds`` are searched exactly across
+  components by shingle prefixes (:func:`_prefixes`), again leaders first,
+  then all pairs that remain. So every candidate pair is inside one group,
+  verified, or ruled out: no link is lost.
 
 Recall: with 25 bands of 5 a pair of similarity 0.8 is a candidate with
 probability 0.99995.
@@ -39,7 +39,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
@@ -203,8 +203,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "an", "ac", "bn", "bc").mapInArrow(run, schema)
 
 
+def _mixed(open_: DataFrame) -> DataFrame:
+    """The keys that still hold more than one component."""
+    keys = open_.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).filter("_lo <> _hi").select("_key")
+    return cut(open_.join(keys, "_key"))
+
+
+def _leader_rounds(open_: DataFrame, links: DataFrame | None, sets: DataFrame, similarity: float, rounds: int, central: bool):
+    """Verify each class of ``open_`` (_class, _key, _n: members of the key, _comp) against one leader a
+    round and join components. Returns all links so far and what is still open.
+
+    ``central``: leaders are classes that meet many others, as those near the middle of a group do;
+    otherwise a class takes the leader of any of its keys, another one each round."""
+    for turn in range(rounds):
+        if central:
+            degree = open_.groupBy("_class").agg((-F.floor(F.log2(F.sum("_n")))).alias("_first"))
+            ranked = open_.join(degree, "_class")
+        else:
+            ranked = open_.withColumn("_first", F.xxhash64("_key", F.lit(turn)))
+        rank = F.struct("_first", F.xxhash64("_class", F.lit(turn)))
+        led = ranked.groupBy("_key").agg(F.min(F.struct(rank.alias("_rank"), "_class", "_comp")).alias("_lead"))
+        pairs = (open_.join(led, "_key").filter("_comp <> _lead._comp").groupBy(F.col("_class").alias("a"))
+                 .agg(F.min("_lead").alias("_lead")).select("a", F.col("_lead._class").alias("b")))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = _verified(pairs, sets, similarity).select("a", "b")
+        links = cut(found if links is None else links.unionByName(found))
+        comp = components(links).withColumnRenamed("node", "_class").withColumnRenamed("component", "_joined")
+        open_ = open_.join(comp, "_class", "left").withColumn("_comp", F.coalesce("_joined", "_class")).drop("_joined")
+        open_ = _mixed(open_)
+        if open_.isEmpty():
+            break
+    return links, open_
+
+
+def _prefixes(classes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Shingle prefixes of the classes: pairs that can reach the similarity share one of them.
+
+    The similarity is at most the share of either document's weight that lies on common shingles.
+    With shingles in one order (rarest first), the first common one is therefore met before more
+    than ``1 - similarity`` of the weight has passed, in both documents. Shingles of one class alone
+    take up weight but join nothing, so documents that share just a common passage do not meet.
+    """
+    schema = StructType([StructField("_class", BinaryType()), StructField("_name", LongType()), StructField("_mass", DoubleType()),
+                         StructField("_size", LongType())])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                names, counts = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
+                name = np.frombuffer(names, dtype=np.int64)
+                mass = np.frombuffer(counts, dtype=np.int32).astype(float) if counts else np.ones(len(name))
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()] * len(name), pa.binary()), pa.array(name),
+                                                  pa.array(mass / max(1.0, mass.sum())), pa.array([None if counts else len(name)] * len(name), pa.int64())],
+                                                 names=schema.fieldNames())
+
+    each = sets.join(classes, "_class", "left_semi").select("_class", "_names", "_counts").mapInArrow(run, schema)
+    common = each.groupBy("_name").agg(F.count("*").alias("_df"))
+    order = Window.partitionBy("_class").orderBy("_df", "_name")
+    ranked = each.join(common, "_name").withColumn("_passed", F.coalesce(F.sum("_mass").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    return ranked.filter((F.col("_passed") <= 1 - similarity + 1e-9) & (F.col("_df") > 1)).select("_class", "_name", "_df", "_passed", "_size")
+
+
+def _remaining_pairs(prefix: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of classes in different components that share a prefix shingle and can reach the similarity."""
+    a, b = (prefix.select("_name", F.col("_class").alias(x), F.col("_comp").alias(f"_{x}"), F.col("_passed").alias(f"{x}p"), F.col("_size").alias(f"{x}n"))
+            for x in "ab")
+    # without counts the measure is the Jaccard index: what both have left bounds the common shingles
+    most = F.least(F.col("an") * (1 - F.col("ap")), F.col("bn") * (1 - F.col("bp")))
+    reach = F.coalesce(most >= similarity * (F.col("an") + F.col("bn") - most) - 1e-6, F.lit(True))
+    return a.join(b, "_name").filter((F.col("_a") < F.col("_b")) & reach).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle: int = 5,
-                bands: int = 25, rows: int = 5, leader_rounds: int = 4) -> DataFrame:
+                bands: int = 25, rows: int = 5, leader_rounds: int = 3) -> DataFrame:
     """One row per row of ``docs``: id, class_id (smallest id with the same words), group_id (smallest
     id of the group), group_size (rows of the group), kept (id is the group's; one of repeated rows)."""
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -213,35 +284,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                F.first("_any").alias("_any"), F.first("_bands").alias("_bands")))
     # buckets of two classes or more
     member = classes.filter("_any").select("_class", F.explode("_bands").alias("_key"))
-    shared = member.groupBy("_key").agg(F.count("*").alias("_n")).filter("_n > 1").select("_key")
+    shared = member.groupBy("_key").agg(F.count("*").alias("_n")).filter("_n > 1")
     member = cut(member.join(shared, "_key"))
     sets = _sets(src, "_text", classes.join(member.select("_class").distinct(), "_class", "left_semi"), shingle)
 
-    links = None
-    open_ = member.withColumn("_comp", F.col("_class"))
-    for turn in range(leader_rounds + 1):
-        if turn < leader_rounds:
-            # the bucket's leader: of its members the one with the lowest hash of this round
-            led = open_.groupBy("_key").agg(F.min(F.struct(F.xxhash64("_class", F.lit(turn)), "_class", "_comp")).alias("_lead"))
-            pairs = (open_.join(led, "_key").filter("_comp <> _lead._comp")
-                     .select(F.col("_class").alias("a"), F.col("_lead._class").alias("b")))
-        else:
-            # what leaders did not join: members of all but a bucket's largest component against all others
-            part = open_.groupBy("_key", "_comp").agg(F.count("*").alias("_n"))
-            big = part.groupBy("_key").agg(F.max(F.struct("_n", "_comp")).alias("_big"))
-            few = open_.join(big, "_key").filter("_comp <> _big._comp").select("_key", F.col("_class").alias("a"), F.col("_comp").alias("_own"))
-            pairs = few.join(open_, "_key").filter("_own <> _comp").select("a", F.col("_class").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = _verified(pairs, sets, similarity).select("a", "b")
-        links = cut(found if links is None else links.unionByName(found))
-        comp = components(links)
-        open_ = (member.join(comp.withColumnRenamed("node", "_class"), "_class", "left")
-                 .withColumn("_comp", F.coalesce("component", "_class")).drop("component"))
-        if turn < leader_rounds:
-            mixed = open_.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).filter("_lo <> _hi").select("_key")
-            open_ = cut(open_.join(mixed, "_key"))
-            if open_.isEmpty():
-                break
+    found, open_ = _leader_rounds(member.withColumn("_comp", F.col("_class")), None, sets, similarity, leader_rounds, central=True)
+    if not open_.isEmpty():
+        # what band leaders did not join: the same by shared prefix shingles, then all pairs that remain
+        prefix = cut(_prefixes(open_.select("_class").distinct(), sets, similarity))
+        comp = components(found).withColumnRenamed("node", "_class").withColumnRenamed("component", "_comp")
+        named = prefix.select("_class", F.col("_name").alias("_key"), "_df").join(comp, "_class", "left")
+        named = named.withColumn("_comp", F.coalesce("_comp", "_class")).withColumnRenamed("_df", "_n")
+        found, open_ = _leader_rounds(_mixed(named), found, sets, similarity, 1, central=False)
+        pairs = _remaining_pairs(prefix.join(open_.select("_class", F.col("_key").alias("_name"), "_comp"), ["_class", "_name"]), similarity)
+        found = cut(found.unionByName(_verified(pairs, sets, similarity).select("a", "b")))
+    comp = components(found)
     comp = cut(comp)
 
     grouped = classes.join(comp.withColumnRenamed("node", "_class"), "_class", "left").select(
