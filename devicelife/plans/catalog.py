@@ -130,9 +130,9 @@ def q_null_profile(spark, sf):
 
 
 @register("prune_null_columns", """
-SELECT event_id, value FROM events WHERE event_type = 'view'""")
+SELECT event_id, nullif(event_type, 'view') AS a, value FROM events""")
 def q_prune_null_columns(spark, sf):
-    ev = load(spark, sf, "events").where(F.col("event_type") == "view").select(
+    ev = load(spark, sf, "events").select(
         "event_id", F.nullif("event_type", F.lit("view")).alias("a"), "value",
         F.when(F.col("value") < 0, F.lit(1)).alias("z"))
     return filters.drop_null_columns(ev)

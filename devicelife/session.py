@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -27,6 +28,8 @@ DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpoints of finished steps go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -34,12 +37,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "devicelife", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or 8]`` for local runs; on a
-    cluster pass ``master=None`` via spark-submit and the builder keeps the
-    submitted master.
+    A configured master (spark-submit, ``spark.master`` in the defaults, or a
+    running session) is kept; only without one does ``master=None`` mean
+    ``local[$BENCH_CPUS or 8]``.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "SPARK_MASTER" not in os.environ:
+    if master is None and not configured_master():
         master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
@@ -56,15 +59,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def configured_master() -> str | None:
+    """The master that a running context or spark-submit has set, if any."""
+    running = SparkContext._active_spark_context
+    if running is not None:
+        return running.master
+    if os.environ.get("SPARK_MASTER") or os.environ.get("MASTER"):
+        return os.environ.get("SPARK_MASTER") or os.environ.get("MASTER")
+    # inside spark-submit the gateway's JVM holds the submitted properties
+    if os.environ.get("PYSPARK_GATEWAY_PORT"):
+        return SparkConf().get("spark.master", None)
+    return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/devicelife-checkpoints") -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is used as is. Only
-    when it is unset (local tests) do we set our own folder.
+    On a cluster that setting names shared storage and is used as is; without
+    it a cluster run fails, as a local folder would lose what executors write.
+    Only on a local master (tests) do we set our own folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = fallback
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -44,13 +44,17 @@ def read_report_rows(spark: SparkSession, paths, width: int = WIDTH) -> DataFram
 
     A quoted empty cell stays ``""`` and a missing cell is null (the CSV
     reader would fold both to null, so empties pass through a sentinel).
-    ``""`` quoting inside a cell is an escaped quote.
+    ``""`` quoting inside a cell is an escaped quote. A row with more cells
+    fails: one cell more than ``width`` is scanned to see it.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     cells = [f"column_{i}" for i in range(1, width + 1)]
-    raw = (spark.read.schema(report_schema(width)).option("header", "false").option("sep", ",")
+    raw = (spark.read.schema(report_schema(width + 1)).option("header", "false").option("sep", ",")
            .option("quote", '"').option("escape", '"').option("emptyValue", EMPTY)
            .option("mode", "PERMISSIVE").csv(paths))
+    over = F.col(f"column_{width + 1}")
+    first = F.when(over.isNotNull(), F.raise_error(F.lit(f"a report row has more than {width} cells")).cast("string")).otherwise(F.col(cells[0]))
+    raw = raw.withColumn(cells[0], first)
     return raw.select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_row"),
