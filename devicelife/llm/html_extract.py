@@ -10,7 +10,7 @@ largest total, the content region. Marked-up boilerplate inside the region
 left out of the text.
 
 Weights: a word's is ``2 P(article | place) - 1``, a tag's is ``-(0.05 +
-P(outside | tag))``, both from smoothed counts over at most about
+0.3 P(outside | tag))``, both from smoothed counts over at most about
 ``max_pages`` labelled pages (hash-chosen). Places that no labelled page
 shows use fixed defaults. The article element itself is no feature, so the
 weights carry over to pages without one.
@@ -58,7 +58,10 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.I)
 SPLIT = re.compile(r"[^a-z]+")
 
-TAG_DEFAULT, WORD_DEFAULT, NOISE_DEFAULT = -0.6, 0.6, -1.0
+TAG_DEFAULT, WORD_DEFAULT, LINK_DEFAULT, NOISE_DEFAULT = -0.2, 0.6, -0.3, -1.0
+#: The least that one run of boilerplate tokens adds up to: an advert or form inside an article must
+#: not cut the article in two, whatever its length.
+NOISE_LEAST = -1.0
 
 
 def _noise(name: str, attributes: str, inside_article: bool) -> bool:
@@ -152,17 +155,25 @@ def weight_of(feature: str, weights: dict[str, float]) -> float:
     known = weights.get(feature)
     if known is not None:
         return known
-    return TAG_DEFAULT if feature[1:2] != ":" else NOISE_DEFAULT if feature[0] == "x" else WORD_DEFAULT
+    if feature[1:2] != ":":
+        return TAG_DEFAULT
+    return NOISE_DEFAULT if feature[0] == "x" else LINK_DEFAULT if feature.endswith(":a") else WORD_DEFAULT
 
 
 def region(found: list[tuple[str, str, bool, bool]], weights: dict[str, float]) -> tuple[int, int]:
     """First and last-plus-one token of the maximum-scoring subsequence (one linear scan)."""
-    best, span, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (feature, piece, _, _) in enumerate(found):
+    best, span, total, start, spent = 0.0, (0, 0), 0.0, 0, 0.0
+    for i, (feature, piece, noise, _) in enumerate(found):
         if not feature:
             continue
         word = feature[1:2] == ":"
-        total += weight_of(feature, weights) * (_words(piece) if word else 1)
+        add = weight_of(feature, weights) * (_words(piece) if word else 1)
+        if noise:
+            add = max(add, NOISE_LEAST - spent)
+            spent += add
+        else:
+            spent = 0.0
+        total += add
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
@@ -209,7 +220,7 @@ def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", max_p
     weights = {}
     for feature, (out, inside) in counts.items():
         share = (inside + 1) / (out + inside + 2)
-        weights[feature] = 2 * share - 1 if feature[1:2] == ":" else -(0.05 + 1 - share)
+        weights[feature] = 2 * share - 1 if feature[1:2] == ":" else -(0.05 + 0.3 * (1 - share))
     return weights
 
 

@@ -40,6 +40,9 @@ BITS = 18
 CHAIN = 128
 KINDS = 5               # features of a token
 MIN_G2, MIN_RATIO = 20.0, 10.0
+#: Marginals below this add nothing to a document's expected number of toxic tokens (many faint ones
+#: would make any long text toxic).
+FAINT = 0.2
 BREAKS = np.array([ord(c) for c in ".!?\n"], dtype=np.uint32)
 
 
@@ -166,7 +169,7 @@ def summaries(texts: list[str], model: Model):
             continue
         p = forward_backward(model.emission[t.feature].sum(axis=1), t.chain, model.start, model.trans)
         np.maximum.at(top, t.owner + lo, p)
-        total[lo:hi] += np.bincount(t.owner, p, hi - lo)
+        total[lo:hi] += np.bincount(t.owner, np.where(p >= FAINT, p, 0.0), hi - lo)
         hot = np.flatnonzero(p >= 0.5)
         for i in hot.tolist():
             own = spans[lo + t.owner[i]]
