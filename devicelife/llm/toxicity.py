@@ -199,7 +199,8 @@ def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, keep=None, label_col: str = "toxic", max_rows: int = 8000, max_chains: int = 40_000) -> Model:
     """Learn from ``labels`` (id, 0/1), restricted to ids for which the column ``keep`` holds."""
     sample, counts = labelled_sample(docs, labels, F.col(label_col).cast("int"), max_rows, keep=keep)
-    blank = Model(np.zeros(1 << BITS, dtype=np.float32), np.zeros(2), np.zeros((2, 2)), np.array([0.0, 0.0, -5.0]))
+    blank = Model(np.zeros(1 << BITS, dtype=np.float32), np.array([0.0, -10.0]), np.array([[0.0, -10.0], [0.0, -10.0]]),
+                  np.array([0.0, 0.0, -5.0]))
     if not counts.get(1):
         return blank
 
