@@ -162,12 +162,25 @@ def next_times(df: DataFrame, s: Series, conds: dict[str, Column]) -> DataFrame:
     out = df.select("*", *[F.min(F.when(c, us)).over(later).alias(n) for n, c in conds.items()])
     if not s.chunk:
         return out
-    # Ties in (keys, ts) never straddle chunks, so every row of a later
-    # chunk is strictly later than every row of this one.
-    first = df.groupBy(*s.part_cols()).agg(*[F.min(F.when(c, us)).alias(f"_m_{n}") for n, c in conds.items()])
+    # Rows of a later chunk are not earlier than this chunk's last time T, but a
+    # burst on T may go on there: rows at T need the first hit after T, earlier
+    # rows the first hit of any later chunk.
+    lo = F.min(us).over(Window.partitionBy(*_pexprs(df, s)))
+    first = df.withColumn("_lo", lo).groupBy(*s.part_cols()).agg(
+        F.min(us).alias("_lo"), F.max(us).alias("_hi"),
+        *[F.min(F.when(c, us)).alias(f"_m_{n}") for n, c in conds.items()],
+        *[F.min(F.when(c & (us > F.col("_lo")), us)).alias(f"_m2_{n}") for n, c in conds.items()])
     nxt = _chunk_order(s, desc=True).rowsBetween(Window.unboundedPreceding, -1)
-    carry = first.select(*s.part_cols(), *[F.min(f"_m_{n}").over(nxt).alias(f"_c_{n}") for n in conds])
-    out = null_safe_join(out, carry, s.part_cols())
+    carry = first.select(*s.part_cols(), "_hi", *[F.min(f"_m_{n}").over(nxt).alias(f"_c_{n}") for n in conds])
+    # hits after each chunk's last time: all of chunks that begin later, and those after T of chunks that begin at T
+    hits = first.select(*s.part_cols(), F.col("_lo").alias("_t"), F.lit(False).alias("_asks"), *[f"_m_{n}" for n in conds], *[f"_m2_{n}" for n in conds])
+    asks = first.select(*s.part_cols(), F.col("_hi").alias("_t"), F.lit(True).alias("_asks"))
+    both = hits.unionByName(asks, allowMissingColumns=True)
+    at = Window.partitionBy(*s.key_cols()).orderBy(F.col("_t").desc())
+    after, from_ = at.rangeBetween(Window.unboundedPreceding, -1), at.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    beyond = both.select(*s.part_cols(), "_asks", *[
+        F.least(F.min(f"_m_{n}").over(after), F.min(f"_m2_{n}").over(from_)).alias(f"_d_{n}") for n in conds]).where("_asks").drop("_asks")
+    out = null_safe_join(out, null_safe_join(carry, beyond, s.part_cols()), s.part_cols())
     for n in conds:
-        out = out.withColumn(n, F.coalesce(F.col(n), F.col(f"_c_{n}")))
-    return out.drop(*[f"_c_{n}" for n in conds])
+        out = out.withColumn(n, F.coalesce(F.col(n), F.when(us < F.col("_hi"), F.col(f"_c_{n}")).otherwise(F.col(f"_d_{n}"))))
+    return out.drop("_hi", *[f"_{x}_{n}" for n in conds for x in "cd"])

@@ -360,7 +360,9 @@ def q_left_join_window_target(spark, sf):
     h = ev.groupBy("user_id", "hour").agg(
         F.max(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("err"))
     h = h.withColumnRenamed("hour", "ts")
-    t = ts_ops.lookahead(h, Series.of("user_id", "ts"), F.col("err") == 1, {"target": 7200})
+    by_user = Series.of("user_id", "ts")
+    h, by_user = with_chunks(h, by_user) if CHUNKED else (h, by_user)
+    t = ts_ops.lookahead(h, by_user, F.col("err") == 1, {"target": 7200})
     t = t.select("user_id", F.col("ts").alias("hour"), "target")
     return joins.attach(ev.select("event_id", "user_id", "hour"), t, ["user_id", "hour"]).select(
         "event_id", "hour", "target")

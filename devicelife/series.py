@@ -18,9 +18,16 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BinaryType, BooleanType, DateType, StringType, TimestampNTZType, TimestampType
+
+from devicelife.session import cut_lineage
 
 CHUNK_COL = "_chunk"
+_CUT_COLS = ("_axis", "_low", "_width")
+#: A chunk has at most this many times the wanted rows.
+CHUNK_SLACK = 4
+#: Up to so many heavy pieces (counted first; some 60 bytes each) are broadcast to the rows.
+BROADCAST_PIECES = 10_000
 _DEFAULTS = {"bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0, "float": 0.0,
              "string": "", "boolean": False}
 DEFAULT_CHUNK_ROWS = 2_000_000
@@ -92,40 +99,92 @@ def ordinal(df: DataFrame, col: str) -> Column:
 def with_chunks(df: DataFrame, s: Series, rows_per_chunk: int | None = None) -> tuple[DataFrame, Series]:
     """Tag rows with ``_chunk``: contiguous pieces of each series in order.
 
-    The chunk is a pure function of the row, ``floor((ts - first ts) /
-    width)``, where each series gets its own width so that a chunk holds
-    about ``rows_per_chunk`` rows on average: a short series is one chunk, a
-    hot series is cut into many. Being deterministic (no sampling, no
-    partition ids), the same row gets the same chunk in every branch of the
-    plan and on every task retry. Rows with equal ``ts`` share a chunk.
-
-    The per-series stats are one grouped aggregate (a row per series),
-    attached by an equi-join (a scalar subquery for a single series).
+    A chunk holds about ``rows_per_chunk`` rows and at most ``CHUNK_SLACK``
+    times as many, unless all its rows have the same order columns. It is
+    named by a path of slice numbers (an array, ordered like the rows): a
+    piece with too many rows is cut into equal slices of the first order
+    column that differs in it, between that column's own least and greatest
+    value there, and slices with too many rows are cut again. So a stray
+    1970 date only costs another cut, a burst on one timestamp is cut by the
+    tie-breaks, and null times are a slice of their own that is cut likewise.
+
+    The path is a pure function of the row and of minima, maxima and counts
+    (no sampling, no partition ids), so the same row gets the same chunk in
+    every branch of the plan and on every task retry. The piece table (a row
+    per series or heavy slice) is computed here, one job a level; series
+    short enough are one chunk and cost no join.
     """
     if rows_per_chunk is None:
         rows_per_chunk = int(df.sparkSession.conf.get("spark.devicelife.chunkRows", str(DEFAULT_CHUNK_ROWS)))
-    o = ordinal(df, s.ts)
-    stats = df.groupBy(*s.keys).agg(F.count(o).alias("_cn"), F.min(o).alias("_c0"), F.max(o).alias("_c1"))
-    width = F.greatest(F.lit(1e-9), (F.col("_c1") - F.col("_c0") + F.lit(1.0)) * F.lit(float(rows_per_chunk))
-                       / F.greatest(F.col("_cn"), F.lit(1)))
-    stats = stats.select(*s.keys, "_c0", width.alias("_cw"))
-    out = attach_aggregates(df, stats, s.keys)
-    # null time sorts first: chunk -1
-    chunk = F.coalesce(F.floor((o - F.col("_c0")) / F.col("_cw")).cast("long"), F.lit(-1).cast("long"))
-    out = out.withColumn(CHUNK_COL, chunk).drop("_c0", "_cw")
     # Non-null stand-ins for the keys: chunk windows partition by them and
     # the per-chunk summaries join back on them with a plain equi-join, whose
     # required distribution the windows' shuffle already provides.
-    sur = []
+    out, sur = df, []
     for i, k in enumerate(s.keys):
         t = df.schema[k].dataType.simpleString()
         v = F.coalesce(F.col(k), F.lit(_DEFAULTS[t]).cast(t)) if t in _DEFAULTS else \
             F.coalesce(F.col(k).cast("string"), F.lit(""))
         out = out.withColumn(f"_sk{i}", v).withColumn(f"_sn{i}", F.isnull(F.col(k)))
         sur += [f"_sk{i}", f"_sn{i}"]
+    out = out.withColumn(CHUNK_COL, F.array(F.lit(0).cast("long")))
+    part = [*sur, CHUNK_COL]
+    images = [_image(df, c) for c in s.order_cols()]
+    heavy = _heavy_pieces(out, s, part, images, rows_per_chunk)
+    first = True
+    while not heavy.isEmpty():
+        if first and not sur:                       # one series without keys: its one row is constants
+            at = heavy.first()
+            cut = out.select("*", *[F.lit(at[c]).alias(c) for c in _CUT_COLS])
+        else:
+            small = heavy.limit(BROADCAST_PIECES + 1).count() <= BROADCAST_PIECES
+            cut = out.join(F.broadcast(heavy) if small else heavy, part, "left")
+        axis = F.lit(None).cast("double")
+        for i, image in reversed(list(enumerate(images))):
+            axis = F.when(F.col("_axis") == i, image).otherwise(axis)
+        # nulls sort first: slice -1
+        piece = F.coalesce(F.floor((axis - F.col("_low")) / F.col("_width")).cast("long"), F.lit(-1).cast("long"))
+        path = F.concat(F.col(CHUNK_COL), F.array(F.when(F.col("_axis").isNull(), F.lit(0).cast("long")).otherwise(piece)))
+        cut = cut.withColumn("_again", F.col("_axis").isNotNull()).withColumn(CHUNK_COL, path).drop(*_CUT_COLS)
+        heavy = _heavy_pieces(cut.where("_again"), s, part, images, rows_per_chunk)
+        out, first = cut.select(*df.columns, *part), False
     return out, replace(s, chunk=CHUNK_COL, surrogates=tuple(sur))
 
 
+def _image(df: DataFrame, col: str) -> Column:
+    """A finite number that never decreases in the order of ``col`` (null for null)."""
+    t = df.schema[col].dataType
+    if isinstance(t, (StringType, BinaryType)):     # the first six bytes
+        head = F.rpad(F.substring(F.hex(F.col(col).cast("binary")), 1, 12), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(t, BooleanType):
+        return F.col(col).cast("int").cast("double")
+    o = ordinal(df, col)
+    return F.when(o.isNotNull(), F.greatest(F.least(o, F.lit(1e300)), F.lit(-1e300)))
+
+
+def _heavy_pieces(rows: DataFrame, s: Series, part: list[str], images: list[Column], rows_per_chunk: int) -> DataFrame:
+    """The pieces (``part``) with too many rows that can be cut: the order column to cut by, where the
+    cuts start and how wide a slice is. A row per heavy piece, checkpointed."""
+    cols = s.order_cols()
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, (c, image) in enumerate(zip(cols, images)):
+        aggs += [F.count(c).alias(f"_n{i}"), F.min(image).alias(f"_a{i}"), F.max(image).alias(f"_z{i}"),
+                 F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(f"_e{i}")]
+    stats = rows.groupBy(*part).agg(*aggs).where(F.col("_n") > CHUNK_SLACK * rows_per_chunk)
+    # the first order column that differs inside the piece; a later one would not follow the order
+    axis = low = high = F.lit(None)
+    for i in reversed(range(len(cols))):
+        same = F.col(f"_e{i}") & ((F.col(f"_n{i}") == 0) | (F.col(f"_n{i}") == F.col("_n")))
+        axis = F.when(same, axis).otherwise(F.lit(i))
+        low = F.when(same, low).otherwise(F.col(f"_a{i}"))
+        high = F.when(same, high).otherwise(F.struct(F.col(f"_z{i}").alias("z"), (F.col(f"_n{i}") < F.col("_n")).alias("nulls")))
+    found = stats.select(*part, "_n", axis.cast("int").alias("_axis"), low.cast("double").alias("_low"), high.alias("_high"))
+    found = found.where(F.col("_axis").isNotNull() & ((F.col("_low") < F.col("_high.z")) | F.col("_high.nulls")))
+    width = F.greatest((F.col("_high.z") - F.col("_low")) * (F.lit(float(rows_per_chunk)) / F.col("_n")), F.lit(1e-300))
+    width = F.when(F.col("_low") < F.col("_high.z"), width).otherwise(F.lit(1.0))
+    return cut_lineage(found.select(*part, "_axis", "_low", width.alias("_width")))
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "left") -> DataFrame:
     """Equi-join on ``cols`` where null keys match null keys (series keys may be null)."""
     r = right

@@ -109,6 +109,49 @@ def test_session_ids_follow_rises(spark):
         assert got == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
 
 
+def dirty_frame():
+    """One 1970 date, a burst on one timestamp, null times, ordinary readings; all in one series."""
+    pdf = make_frame(seed=11, n=600)
+    pdf["k"] = 1
+    pdf["ts"] = pdf["ts"].astype("datetime64[us]")
+    pdf.loc[0, "ts"] = pd.Timestamp("1970-01-01")
+    pdf.loc[100:299, "ts"] = pd.Timestamp("2024-01-01 02:00:00")
+    pdf.loc[300:379, "ts"] = pd.NaT
+    return pdf
+
+
+def test_chunks_hold_bounded_rows_on_dirty_times(spark):
+    pdf = dirty_frame()
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in pdf.astype(object).itertuples(index=False)]
+    rows = [(k, t.to_pydatetime() if t is not None else None, tb, v, f) for k, t, tb, v, f in rows]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, tb long, v double, flag int")
+    pdf = pdf.sort_values(["k", "ts", "tb"], na_position="first").reset_index(drop=True)
+    exp = expect(pdf)
+    plain = collect(ts_ops.lookahead(df, Series.of("k", "ts", "tb"), F.col("flag") == 1, {"la": 3600}), ["la"])["la"]
+    for keys in ("k", ()):
+        d, s = with_chunks(df, Series.of(keys, "ts", "tb"), 10)
+        sizes = [r["count"] for r in d.groupBy(s.chunk).count().collect()]
+        assert sum(sizes) == 600 and max(sizes) <= 40
+        out = scan.running_sums(d, s, {"rs": F.col("flag")})
+        out = scan.fill_forward(out, s, {"ff": F.col("v")})
+        out = scan.fill_backward(out, s, {"bf": F.col("v")})
+        out = scan.lags(out, s, {"l1": (F.col("v"), 1), "l4": (F.col("v"), 4)})
+        out = scan.row_index(out, s, "rn")
+        got = collect(out, list(exp.columns))
+        for c in exp.columns:
+            close(got[c], exp[c])
+        close(collect(ts_ops.lookahead(d, s, F.col("flag") == 1, {"la": 3600}), ["la"])["la"], plain)
+
+
+def test_equal_times_are_cut_by_text_ties(spark):
+    df = spark.range(500).select(F.lit(1).alias("k"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts"),
+                                 F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("tb"))
+    d, s = with_chunks(df, Series.of("k", "ts", "tb"), 10)
+    per = d.groupBy(s.chunk).agg(F.count("*").alias("n"), F.min("tb").alias("a"), F.max("tb").alias("z")).orderBy(s.chunk).collect()
+    assert max(r["n"] for r in per) <= 40
+    assert all(x["z"] < y["a"] for x, y in zip(per, per[1:]))
+
+
 def test_chunks_split_a_hot_series(spark, data):
     _, df = data
     d, s = with_chunks(df, Series.of("k", "ts", "tb"), 10)
