@@ -1,5 +1,6 @@
 """Model half, session set-up and the report's width guard."""
 
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
@@ -38,6 +39,21 @@ def test_search_runs_every_point_and_selects_once_a_fold(spark, monkeypatch):
     assert len(fits) == 2 and {p.maxDepth for p in fits} == {3}
 
 
+def test_registered_queries_ask_for_the_sources_rounds_and_grid(spark, monkeypatch):
+    asked = []
+    real = model.gbt
+    tiny = lambda p: replace(p, maxIter=1, maxDepth=1)  # noqa: E731  (what is asked for is tested, not its fit)
+    monkeypatch.setattr(model, "gbt", lambda p, *a, **k: asked.append(p) or real(tiny(p), *a, **k))
+    E.queries()["search"](spark, SF_SMALL)
+    base, points = asked[:2], asked[2:]
+    assert base == [model.ModelParams()] * 2 and len(points) == 24
+    assert {p.maxIter for p in points} == {1000}
+    assert {(p.stepSize, p.maxDepth) for p in points} == {(0.01, 10), (0.01, 15), (0.1, 10), (0.1, 15)}
+    del asked[:]
+    E.queries()["select_by_importance"](spark, SF_SMALL)
+    assert asked == [model.ModelParams()] * 2
+
+
 def test_loaded_scores_equal_saved_scores(spark):
     got = E.queries()["bundle_roundtrip"](spark, SF_SMALL).collect()
     assert got and all(r.same for r in got)
