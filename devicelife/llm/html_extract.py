@@ -44,19 +44,22 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title noscript template iframe svg math object".split())
 SKIP = set("script style noscript template iframe svg math object head title nav footer aside form button select textarea "
            "input label option dialog menu canvas audio video map".split())
-#: Words in class, id and role attributes that mark boilerplate.
+#: Tokens of class, id and role attributes that mark boilerplate: one such word, or several joined (cookie-banner).
 NOISE = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios "
             "consent cookie cookies disclaimer disqus footer form gdpr login masthead menu modal nav navbar navigation newsletter "
             "notice notices pagination pager popup promo promoted recommended related replies reply respond share sharing sidebar "
             "signup skip social sponsor sponsored subscribe tags toolbar topbar widget widgets complementary contentinfo search "
             "alert discussion reactions cta copyright legal".split())
+PART = re.compile(r"[-_]")
+#: Elements whose id is the target of a link, not the name of a part of the page.
+ANCHORS = set("h1 h2 h3 h4 h5 h6 a".split())
 CLOSES = {"p": BLOCK - {"br", "hr", "body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
           "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)"
                    r"|<(?=[/a-zA-Z!?])[^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.I)
-SPLIT = re.compile(r"[^a-z]+")
+#: One attribute: its name and its whole value, if it has one.
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 
 TAG_DEFAULT, WORD_DEFAULT, LINK_DEFAULT, NOISE_DEFAULT = -0.2, 0.6, -0.3, -1.0
 #: The least that one run of boilerplate tokens adds up to: an advert or form inside an article must
@@ -64,46 +67,69 @@ TAG_DEFAULT, WORD_DEFAULT, LINK_DEFAULT, NOISE_DEFAULT = -0.2, 0.6, -0.3, -1.0
 NOISE_LEAST = -1.0
 
 
-def _noise(name: str, attributes: str, inside_article: bool) -> bool:
+def _marked(name: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is boilerplate by its kind or as hidden, and whether only its class, id or role says so."""
     if name in SKIP or (name == "header" and not inside_article):
-        return True
+        return True, False
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    named = False
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        if key == "style":
-            if "display:none" in value.replace(" ", ""):
-                return True
-        elif NOISE.intersection(SPLIT.split(value)):
-            return True
-    return False
+        if key == "hidden" or (key == "aria-hidden" and value == "true") or (
+                key == "style" and "display:none" in value.replace(" ", "")):
+            return True, False
+        # ids of headings and links, and of sections of an article, are anchors
+        if key in ("class", "role") or (key == "id" and name not in ANCHORS and not (name == "section" and inside_article)):
+            named = named or any(NOISE.issuperset(PART.split(token)) for token in value.split())
+    return False, named
 
 
 def scan(page: str) -> list[tuple[str, str, bool, bool]]:
     """Tokens of a page: (feature, text, boilerplate, inside an article element).
 
     A text token holds a piece of text (its feature is its words' place); a tag token's text is a
-    line feed if the tag ends a block, else empty."""
+    line feed if the tag ends a block, else empty.
+
+    An element that only its class, id or role marks is no boilerplate if it holds an article or main
+    element, or most of the words that stand neither in boilerplate by kind nor in links, unless the page has
+    an article or main element elsewhere."""
+    out, named, words, marked = _scan(page, frozenset())
+    kept = frozenset(at for at, (held, holds, inside) in named.items() if holds or (2 * held > words and (inside or not marked)))
+    return _scan(page, kept)[0] if kept else out
+
+
+def _scan(page: str, kept: frozenset[int]) -> tuple[list[tuple[str, str, bool, bool]], dict[int, list], int, bool]:
+    """The tokens; of each element marked by name only, by its place in the page, its words and whether it
+    holds or is in an article or main; all words; whether the page has an article or main. ``kept``: such elements that are no boilerplate."""
     out: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, bool]] = []          # open elements and whether each starts boilerplate
-    noise = article = links = 0
+    # open elements, whether each starts boilerplate, and whether by its kind
+    stack: list[tuple[str, bool, bool]] = []
+    named: dict[int, list] = {}                 # elements marked by name only
+    begun: dict[int, tuple[int, int]] = {}      # of those still open, by depth: place and words before
+    noise = sure = article = links = words = 0
+    marked = False
     place = "body"
     at = 0
 
-    def leave(entry: tuple[str, bool]) -> None:
-        nonlocal noise, article, links
-        name, bad = entry
+    def leave(entry: tuple[str, bool, bool]) -> None:
+        nonlocal noise, sure, article, links
+        name, bad, kind = entry
         noise -= bad
+        sure -= kind
+        if len(stack) in begun:
+            place_of, before = begun.pop(len(stack))
+            named[place_of][0] = words - before
         article -= name == "article"
         links -= name == "a"
 
     def where() -> str:
-        return next((n for n, _ in reversed(stack) if n in BLOCK), "body")
+        return next((n for n, *_ in reversed(stack) if n in BLOCK), "body")
 
     def text(piece: str) -> None:
+        nonlocal words
         if piece.strip():
+            words += 0 if sure or links else _words(piece)
             out.append((f"{'x' if noise else 'w'}:{place}{':a' if links else ''}", piece, noise > 0, article > 0))
         elif piece:
             out.append(("", piece, noise > 0, article > 0))
@@ -120,7 +146,7 @@ def scan(page: str) -> list[tuple[str, str, bool, bool]]:
             continue
         closing = m.group(1) == "/"
         if closing:
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, *_ in stack):
                 while stack:
                     entry = stack.pop()
                     leave(entry)
@@ -129,22 +155,36 @@ def scan(page: str) -> list[tuple[str, str, bool, bool]]:
         elif name not in VOID:
             while stack and name in CLOSES.get(stack[-1][0], ()):
                 leave(stack.pop())
-            bad = _noise(name, m.group(3) or "", article > 0)
-            stack.append((name, bad))
+            kind, by_name = _marked(name, m.group(3) or "", article > 0)
+            if name in ("article", "main"):
+                marked = True
+                for place_of, _ in begun.values():
+                    named[place_of][1] = True
+            if by_name:
+                named[m.start()] = [0, False, any(n in ("article", "main") for n, *_ in stack)]
+                begun[len(stack)] = (m.start(), words)
+            bad = kind or (by_name and m.start() not in kept)
+            stack.append((name, bad, kind))
             noise += bad
+            sure += kind
             article += name == "article"
             links += name == "a"
         place = where()
         out.append((f"{'/' if closing else ''}{name if name in BLOCK or name in VOID or name in SKIP or name == 'a' else 'inline'}",
                     "\n" if name in BLOCK else "", noise > 0, article > 0))
-        if name in RAW and not closing and not m.group(3).endswith("/"):
+        if name in ("svg", "math") and not closing and (m.group(3) or "").endswith("/"):   # ends where it begins
+            leave(stack.pop())
+            place = where()
+        elif name in RAW and not closing:
             end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             if name == "title":
                 text(page[at:end.start() if end else len(page)])
             at = end.end() if end else len(page)
             leave(stack.pop())
             place = where()
-    return out
+    while stack:
+        leave(stack.pop())
+    return out, named, words, marked
 
 
 def _words(piece: str) -> int:

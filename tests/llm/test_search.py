@@ -195,3 +195,35 @@ def test_pipeline_stages(spark):
             assert out.columns == docs.columns
             docs = out
     assert sizes[0] >= sizes[1] > sizes[2] > 0 and sizes[4] == sizes[3]
+
+
+LONG = "The river rose in the night and the town woke to water in every street."
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='page has-sidebar'><article><p>{LONG}</p></article></div></body>",
+    f"<body><div class='post no-comments'><p>{LONG}</p></div></body>",
+    f"<body><div class='sidebar'><main><p>{LONG}</p></main></div></body>",
+    f"<body><div id='search'><p>{LONG}</p></div></body>",
+    f"<body><p>{LONG}</p><svg class='i'/><nav>Home</nav></body>",
+])
+def test_html_keeps_articles_in_named_wrappers(page):
+    assert html_extract.extract(page, {}) == LONG
+
+
+@pytest.mark.parametrize("part", [
+    "<section id='discussion'><p>Kept too.</p></section>", "<section class='open-discussion'><p>Kept too.</p></section>", "<h2 id='related'>Kept too.</h2>", "<h2 id='search'>Kept too.</h2>",
+    "<p>Kept <a href='/hidden-costs'>too.</a></p>", "<p title='the hidden valley'>Kept too.</p>",
+    "<p>Kept <a href='/q?id=search'>too.</a></p>", "<p data-id='tags'>Kept too.</p>", "<p>Kept <svg/>too.</p>"])
+def test_html_keeps_parts_of_articles(part):
+    assert html_extract.extract(f"<body><article><p>{LONG}</p>{part}<p>{LONG}</p></article></body>", {}) == f"{LONG} Kept too. {LONG}"
+
+
+@pytest.mark.parametrize("part", ["<div class='box ad'>Buy now.</div>", "<div hidden>Buy now.</div>", "<div id=comments>Buy now.</div>",
+                                  "<div style='display: none'>Buy now.</div>", "<div class='a' aria-hidden='true'>Buy now.</div>"])
+def test_html_drops_marked_parts(part):
+    assert html_extract.extract(f"<body><article><p>{LONG}</p>{part}<p>{LONG}</p></article></body>", {}) == f"{LONG} {LONG}"
+
+
+def test_html_drops_a_long_advert_beside_a_short_article():
+    assert html_extract.extract(f"<body><div class='ad'>{LONG}</div><article><p>Rain.</p></article></body>", {}) == "Rain."
