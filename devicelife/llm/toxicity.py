@@ -26,6 +26,7 @@ columns are ignored unless named in ``keep``.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -231,33 +232,55 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, label_col: str = "toxic",
     mark = np.zeros(1 << BITS, dtype=bool)
     mark[tied] = True
 
-    # chains to learn from: all that hold a toxic token and a hash-chosen share of the others
+    # chains to learn from: all, or the first of each kind by a hash of (document, place) where they exceed the bound
     row = StructType([StructField("toxic", IntegerType()), StructField("order", LongType()),
                       StructField("feature", ArrayType(IntegerType())), StructField("label", ArrayType(IntegerType()))])
+    tally = StructType([StructField("toxic", IntegerType()), StructField("n", LongType())])
+
+    def parts(batch):
+        """Of some texts at a time: tokens, their labels, and whether each chain holds a toxic token."""
+        doc, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for lo, hi in slabs(texts, 300_000):
+            t = tokens(texts[lo:hi])
+            if len(t.owner):
+                label = mark[t.feature[:, :3]].any(axis=1) & (np.array(doc[lo:hi])[t.owner] == 1)
+                yield texts[lo:hi], t, label, np.add.reduceat(label, t.chain[:-1]) > 0
+
+    def count(batches):
+        hot = [0, 0]
+        for batch in batches:
+            for *_, kind in parts(batch):
+                hot[1] += int(kind.sum())
+                hot[0] += len(kind) - int(kind.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array(hot, pa.int64())], names=tally.fieldNames())
+
+    half = max_chains // 2
+    n_chains = {r[0]: r[1] for r in sample.mapInArrow(count, tally).groupBy("toxic").agg(F.sum("n")).collect()}
+    # hashes below this pass on: all while they fit, else twice as many as are taken
+    most = [(1 << 63) - 1 if n <= 2 * half else int((1 << 63) * (2 * half / n)) for n in (n_chains.get(0, 0), n_chains.get(1, 0))]
 
     def chains(batches):
         for batch in batches:
-            doc, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in slabs(texts, 300_000):
-                t = tokens(texts[lo:hi])
+            for texts, t, label, hot in parts(batch):
                 out = ([], [], [], [])
-                if len(t.owner):
-                    label = mark[t.feature[:, :3]].any(axis=1) & (np.array(doc[lo:hi])[t.owner] == 1)
-                    order = mix64(t.feature[:, 0].astype(U64) * U64(31) + t.feature[:, 3].astype(U64)) >> U64(1)
-                    hot = np.add.reduceat(label, t.chain[:-1]) > 0
-                    for c in np.flatnonzero(hot | (order[t.chain[:-1]] % U64(16) == 0)).tolist():
-                        i, j = t.chain[c], t.chain[c + 1]
-                        out[0].append(int(hot[c]))
-                        out[1].append(int(order[i]))
-                        out[2].append(t.feature[i:j].ravel())
-                        out[3].append(label[i:j].astype(np.int32))
+                start = t.chain[:-1]
+                own = np.array([int.from_bytes(hashlib.blake2b((x or "").encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+                                for x in texts], dtype=U64)
+                place = (start - np.searchsorted(t.owner, t.owner[start])).astype(U64)
+                order = mix64(own[t.owner[start]] ^ mix64(place + U64(1))) >> U64(1)
+                for c in np.flatnonzero(order <= np.where(hot, U64(most[1]), U64(most[0]))).tolist():
+                    i, j = t.chain[c], t.chain[c + 1]
+                    out[0].append(int(hot[c]))
+                    out[1].append(int(order[c]))
+                    out[2].append(t.feature[i:j].ravel())
+                    out[3].append(label[i:j].astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
                                                   pa.array(out[2], pa.list_(pa.int32())), pa.array(out[3], pa.list_(pa.int32()))], names=row.fieldNames())
 
     found = sample.mapInArrow(chains, row)
     picked = []
     for kind in (1, 0):
-        picked += found.filter(F.col("toxic") == kind).orderBy("order", "feature").limit(max_chains // 2).collect()
+        picked += found.filter(F.col("toxic") == kind).orderBy("order", "feature").limit(half).collect()
     feature = np.concatenate([np.array(r.feature, dtype=np.int64) for r in picked]).reshape(-1, KINDS)
     label = np.concatenate([np.array(r.label, dtype=np.int64) for r in picked])
     chain = np.concatenate([[0], np.cumsum([len(r.label) for r in picked])])

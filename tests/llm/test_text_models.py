@@ -119,3 +119,18 @@ def test_ordinal_grades(spark):
     assert all(0 <= r.expected_grade <= 3 and 0 <= r.p_tail <= 1 for r in got.values())
     none = quality.grade(df, quality.fit(df, rated.limit(0), F.col("grade"))).collect()
     assert {(r.expected_grade, r.selected) for r in none} == {(0.0, False)}
+
+
+@pytest.mark.parametrize("bound", [40_000, 40])
+def test_toxicity_learns_from_all_chains_that_fit(spark, monkeypatch, bound):
+    clean = [(i, f"garo{i} velin mosta.") for i in range(100)]
+    bad = [(1000 + i, "vilefoul prune kalet.") for i in range(60)]
+    docs = spark.createDataFrame(clean + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in clean + bad], "doc_id long, toxic int")
+    given = []
+    real = toxicity.fit_field
+    monkeypatch.setattr(toxicity, "fit_field", lambda f, c, y: given.append((c, y)) or real(f, c, y))
+    toxicity.fit(docs, labels, max_chains=bound)
+    (chain, y), = given
+    hot = np.add.reduceat(y, chain[:-1]) > 0
+    assert ((~hot).sum(), hot.sum()) == ((100, 60) if bound > 160 else (20, 20))
