@@ -47,20 +47,21 @@ def harmonise(df: DataFrame, keys, bucket: str, cols=None) -> DataFrame:
     return joined.select(*rest, *out).select(*df.columns).distinct()
 
 
-def categories(df: DataFrame, cols, max_categories: int = 1000) -> dict[str, list]:
-    """Observed non-null values of each category column (sorted).
+def categories(df: DataFrame, cols) -> dict[str, list]:
+    """Observed non-null values of each category column (sorted); one small job per column.
 
-    One small job per column, capped: a column with more than
-    ``max_categories`` values is not a category and raises.
+    Every value comes to the driver and becomes a column of :func:`one_hot`: for columns of
+    very many values give ``one_hot`` a fixed list, or use :func:`one_hot_long`.
     """
-    out = {}
-    for c in cols:
-        vals = [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct()
-                .orderBy(c).limit(max_categories + 1).collect()]
-        if len(vals) > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} distinct values")
-        out[c] = vals
-    return out
+    return {c: [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()] for c in cols}
+
+
+def one_hot_long(df: DataFrame, keys, cols) -> DataFrame:
+    """The ones of :func:`one_hot` as rows ``(*keys, column, value)``, for any number of values
+    (as text; null gives no row). ``keys`` name the row."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols if c in df.columns])
+    return df.select(*keys, F.inline(cells)).where(F.col("value").isNotNull())
 
 
 def one_hot(df: DataFrame, cols, cats: dict[str, list] | None = None, sep: str = "_",
