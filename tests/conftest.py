@@ -25,5 +25,3 @@ def small_chunks(spark):
     yield
     spark.conf.unset("spark.devicelife.chunkRows")
 
-
-SF_SMALL = "/root/testdata/sf0.001"

@@ -6,10 +6,10 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 from devicelife import session
 from devicelife.operators import model
 from devicelife.sources import report
+from small_tables import SF_SMALL
 
 
 def test_a_configured_master_is_kept(spark):

@@ -3,8 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 from oracle import connect, same
+from small_tables import SF_SMALL
 
 SQL = E.oracle_sql()
 NAMES = sorted(SQL)
