@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_automaton, chunk_dedup, html_extract, language_id, mixing, near_dedup, nearest, quality,
-               suffix_dedup, toxicity)
+from . import (bpe_automaton, chunk_dedup, collision_links, html_extract, language_id, mixing, near_dedup, nearest, quality,
+               spelling, suffix_dedup, toxicity, whitening)
 from .common import fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,34 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+LINKS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN low l ON l.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
+
+
+@query("op13_near_embeddings", LINKS_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_links.link(table(spark, sf_dir, "embeddings"))
