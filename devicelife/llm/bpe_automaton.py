@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,61 +63,78 @@ class Automaton:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], added: dict[str, int] | None = None):
         letters = byte_letters()
-        self.label = {i: bytes(letters[c] for c in t) for t, i in vocab.items()}
         self.added = dict(added or {})
-        self.label.update({i: t.encode() for t, i in self.added.items()})
-        # gadget tables: when a token was made (bytes: -1), from which two, and when a pair merges
-        self.made = {i: -1 for i, b in self.label.items() if len(b) == 1}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.merged: dict[tuple[int, int], int] = {}
+        n = max([*vocab.values(), *self.added.values()], default=-1) + 1
+        labels = [b""] * n
+        for t, i in vocab.items():
+            labels[i] = bytes(letters[c] for c in t)
+        for t, i in self.added.items():
+            labels[i] = t.encode()
+        self.offsets = array("q", np.concatenate([[0], np.cumsum([len(b) for b in labels], dtype=np.int64)]).tobytes())
+        self.labels = b"".join(labels)
+        # gadget tables: when a token was made (bytes: -1, never: -2), from which two, and when a pair merges
+        self.made = array("i", [-1 if len(b) == 1 else -2 for b in labels])
+        self.left, self.right = array("i", [-1]) * n, array("i", [-1]) * n
+        self.merged: dict[int, int] = {}
         for r, (a, b) in enumerate(merges):
             u, v, w = vocab[a], vocab[b], vocab[a + b]
             # no v arc out of q(u) so far: the pair never meets and the gadget adds nothing
-            if u in self.made and v in self.made and self._unfold(u, v, r - 1):
-                self.merged[u, v] = r
-                if w in self.made:
+            if self.made[u] >= -1 and self.made[v] >= -1 and self._unfold(u, v, r - 1):
+                self.merged[u << 32 | v] = r
+                if self.made[w] >= -1:
                     raise ValueError(f"two merges make the token {a + b!r}")
-                self.made[w], self.parts[w] = r, (u, v)
-        # trie of the labels of the tokens that the gadgets make (node = {byte: node, -1: token}),
-        # and for each token the longest shorter token that its label begins with
-        self.trie: dict = {}
-        self.shorter: dict[int, int | None] = {}
-        self.size = {i: len(self.label[i]) for i in self.made}
-        for i in sorted(self.made, key=self.size.__getitem__):
-            node, best = self.trie, None
-            for c in self.label[i]:
-                node = node.setdefault(c, {})
-                best = node.get(-1, best)
-            node[-1], self.shorter[i] = i, best
+                self.made[w], self.left[w], self.right[w] = r, u, v
+        pairs = np.array(sorted(self.merged), dtype=np.int64)
+        self.pairs = np.append(pairs, -1) if not len(pairs) else pairs
+        self.ranks = np.array([self.merged.get(k, 1 << 61) for k in self.pairs.tolist()], dtype=np.int64)
+        self._trie([i for i in range(n) if self.made[i] >= -1])
         self.table: dict[int, bool] = {}
-        self._dense()
 
     WIDE = 24            # words of up to this many bytes are walked together, as arrays
-    SLOTS = 1 << 20      # direct-mapped copy of the transition table for them
-
-    def _dense(self) -> None:
-        """The trie and the token tables as arrays."""
-        nodes = [self.trie]
-        number = {id(self.trie): 1}
-        for node in nodes:
-            for c, child in node.items():
-                if c >= 0:
-                    number[id(child)] = len(nodes) + 1
-                    nodes.append(child)
-        self.step = np.zeros((len(nodes) + 1, 256), dtype=np.int32)      # node 0: no such prefix
-        self.accepts = np.full(len(nodes) + 1, -1, dtype=np.int32)
-        for k, node in enumerate(nodes, 1):
-            for c, child in node.items():
-                if c >= 0:
-                    self.step[k, c] = number[id(child)]
-            self.accepts[k] = node.get(-1, -1)
-        n = max(self.label, default=-1) + 1
-        self.sizes, self.shorters = np.zeros(n, dtype=np.int32), np.full(n, -1, dtype=np.int32)
-        for i, m in self.size.items():
-            self.sizes[i] = m
-            self.shorters[i] = -1 if self.shorter[i] is None else self.shorter[i]
+    SLOTS = 1 << 19      # direct-mapped transition table for them
+    KEPT = 100_000       # transitions kept for longer words
+
+    def _trie(self, tokens: list[int]) -> None:
+        """The trie of the labels of the tokens that the gadgets make, as sorted edges (node << 8 | byte).
+        Nodes are numbered level by level in the order of their edges, so an edge's place tells its child.
+        ``shorter``: for each token the longest shorter token that its label begins with."""
+        n = len(self.made)
+        text, starts = np.frombuffer(self.labels, dtype=np.uint8), np.frombuffer(self.offsets, dtype=np.int64)
+        live = np.array(tokens, dtype=np.int64)
+        size = (starts[1:] - starts[:-1])[live]
+        sizes, shorter = np.zeros(n, dtype=np.int32), np.full(n, -1, dtype=np.int32)
+        sizes[live] = size
+        node, best = np.ones(len(live), dtype=np.int64), np.full(len(live), -1, dtype=np.int32)
+        edges, accepts, known, depth = [], [np.full(2, -1, dtype=np.int32)], 2, 0      # node 0: none, node 1: the root
+        while len(live):
+            key, child = np.unique(node << 8 | text[starts[live] + depth], return_inverse=True)
+            edges.append(key)
+            ends = size == depth + 1
+            here = np.full(len(key), -1, dtype=np.int32)
+            here[child[ends]] = live[ends]
+            accepts.append(here)
+            shorter[live[ends]] = best[ends]
+            best = np.where(here[child] >= 0, here[child], best)
+            node = child + known
+            known += len(key)
+            live, size, node, best, depth = live[~ends], size[~ends], node[~ends], best[~ends], depth + 1
+        self.edges = np.concatenate(edges) if edges else np.zeros(0, dtype=np.int64)
+        self.accepts = np.concatenate(accepts)
+        self.size, self.shorter = array("i", sizes.tobytes()), array("i", shorter.tobytes())
+        self.sizes, self.shorters = np.frombuffer(self.size, dtype=np.int32), np.frombuffer(self.shorter, dtype=np.int32)
         self.slot_key, self.slot_arc = np.full(self.SLOTS, -1, dtype=np.int64), np.zeros(self.SLOTS, dtype=bool)
 
+    def label(self, i: int) -> bytes:
+        return self.labels[self.offsets[i]:self.offsets[i + 1]]
+
+    def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """Children of the nodes (0: none)."""
+        if not len(self.edges):
+            return np.zeros(len(node), dtype=np.int64)
+        key = node << 8 | byte
+        at = np.searchsorted(self.edges, key)
+        return np.where(self.edges[np.minimum(at, len(self.edges) - 1)] == key, at + 2, 0)
+
     def arcs(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
         """:meth:`arc` for arrays of pairs."""
         key = s.astype(np.int64) << 32 | t
@@ -125,11 +143,28 @@ class Automaton:
         out = self.slot_arc[slot]
         if len(miss):
             new, back = np.unique(key[miss], return_inverse=True)
-            known = np.array([self.arc(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()], dtype=bool)
+            known = self._unfold_all(new >> 32, new & 0xFFFFFFFF)
             out[miss] = known[back]
             self.slot_key[slot[miss]], self.slot_arc[slot[miss]] = key[miss], out[miss]
         return out
 
+    def _unfold_all(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """:meth:`_unfold` for arrays of pairs, all gadgets applied."""
+        made, left, right = (np.frombuffer(x, dtype=np.int32) for x in (self.made, self.left, self.right))
+        out = np.zeros(len(s), dtype=bool)
+        live, last = np.arange(len(s)), np.full(len(s), 1 << 60)
+        while len(live):
+            key = s << 32 | t
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            a, b = made[s].astype(np.int64), made[t].astype(np.int64)
+            no = (self.pairs[at] == key) & (self.ranks[at] <= last)
+            yes = ~no & (a < 0) & (b < 0)             # two bytes of the universal automaton
+            out[live[yes]] = True
+            on = ~(no | yes)
+            s, t, a, b, live, last = s[on], t[on], a[on], b[on], live[on], last[on]
+            s, t, last = np.where(a >= b, right[s], s).astype(np.int64), np.where(b >= a, left[t], t).astype(np.int64), np.where(a >= b, a - 1, b)
+        return out
+
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """:meth:`encode_word` for many words; short ones walk the automaton in step."""
         out: list = [None] * len(words)
@@ -152,15 +187,7 @@ class Automaton:
         # longest token from every position
         best = np.full((many, wide + 1), -1, dtype=np.int32)
         row, col = np.nonzero(np.arange(wide) < size[:, None])
-        node, far, at = np.ones(len(row), dtype=np.int32), col.copy(), np.arange(len(row))
-        while len(at):
-            node = self.step[node, text[row[at], far]]
-            token = self.accepts[node]
-            good = token >= 0
-            best[row[at[good]], col[at[good]]] = token[good]
-            far = far + 1
-            on = (node > 0) & (far < size[row[at]])
-            at, node, far = at[on], node[on], far[on]
+        best[row, col] = self._longest(text.reshape(-1), row * wide + col, row * wide + size[row])
         path = np.zeros((many, wide), dtype=np.int32)
         dead = np.zeros((many, wide + 1), dtype=bool)
         depth, here = np.zeros(many, dtype=np.int64), np.zeros(many, dtype=np.int64)
@@ -191,6 +218,20 @@ class Automaton:
             live = live[here[live] < size[live]]
         return [p[:d] for p, d in zip(path.tolist(), depth.tolist())]
 
+    def _longest(self, text: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The longest token that starts at each of the places and goes no further than its end (-1: none)."""
+        best = np.full(len(at), -1, dtype=np.int32)
+        live, node, far = np.arange(len(at)), np.ones(len(at), dtype=np.int64), at.copy()
+        while len(live):
+            node = self.step(node, text[far])
+            token = self.accepts[node]
+            good = token >= 0
+            best[live[good]] = token[good]
+            far = far + 1
+            on = (node > 0) & (far < ends[live])
+            live, node, far = live[on], node[on], far[on]
+        return best
+
     @staticmethod
     def load(path: str) -> "Automaton":
         spec = json.load(open(path, encoding="utf-8"))
@@ -203,45 +244,57 @@ class Automaton:
         key = s << 32 | t
         known = self.table.get(key)
         if known is None:
+            if len(self.table) >= self.KEPT:
+                self.table.clear()
             known = self.table[key] = self._unfold(s, t)
         return known
 
     def _unfold(self, s: int, t: int, last: int = 1 << 60) -> bool:
         """The arc when the gadgets up to and including number ``last`` have been applied."""
-        made, parts, merged = self.made, self.parts, self.merged
+        made, left, right, merged = self.made, self.left, self.right, self.merged
         while True:
-            if merged.get((s, t), 1 << 61) <= last:
+            if merged.get(s << 32 | t, 1 << 61) <= last:
                 return False
             a, b = made[s], made[t]
             if a < 0 and b < 0:
                 return True                  # two bytes of the universal automaton
             if a > b:                        # q(s) began as the state behind its second part
-                s, last = parts[s][1], a - 1
+                s, last = right[s], a - 1
             elif b > a:                      # a t arc goes out where its first part's did
-                t, last = parts[t][0], b
+                t, last = left[t], b
             else:                            # s is t: both of the above
-                s, t, last = parts[s][1], parts[s][0], a - 1
+                s, t, last = right[s], left[t], a - 1
 
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one pre-split word, by a longest-arc-first walk over the automaton."""
         n, at, last = len(word), 0, -1
         dead, path = bytearray(n + 1), []
         size, shorter, table = self.size, self.shorter, self.table
-        t = self.longest(word, 0)
+        text, first, longest = np.frombuffer(word, dtype=np.uint8), 0, array("i")
+
+        def start(at: int) -> int:
+            """The longest token from a place, looked up for a stretch of the word at a time."""
+            nonlocal first, longest
+            if not first <= at < first + len(longest):
+                first = at - at % 65_536
+                places = np.arange(first, min(n, first + 65_536))
+                longest = array("i", self._longest(text, places, np.full(len(places), n)).tobytes())
+            return longest[at - first]
+
+        t = start(0)
         while True:
-            while t is not None:
+            while t >= 0:
                 end = at + size[t]
                 if not dead[end]:
                     if last < 0:
                         break
-                    key = last << 32 | t
-                    known = table.get(key)
+                    known = table.get(last << 32 | t)
                     if known is None:
-                        known = table[key] = self._unfold(last, t)
+                        known = self.arc(last, t)
                     if known:
                         break
                 t = shorter[t]
-            if t is None:                    # no arc leads on from here: one step back, next shorter arc
+            if t < 0:                        # no arc leads on from here: one step back, next shorter arc
                 if not path:
                     raise ValueError("the vocabulary has no token for a byte of the text")
                 dead[at] = 1
@@ -254,20 +307,10 @@ class Automaton:
             if end == n:
                 return path
             at, last = end, t
-            t = self.longest(word, at)
-
-    def longest(self, word: bytes, at: int) -> int | None:
-        """The longest token that starts at a position."""
-        node, best = self.trie, None
-        for i in range(at, len(word)):
-            node = node.get(word[i])
-            if node is None:
-                break
-            best = node.get(-1, best)
-        return best
+            t = start(at)
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join([self.label[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join([self.label(i) for i in ids]).decode("utf-8", "replace")
 
 
 class Splitter:
@@ -337,27 +380,34 @@ class Splitter:
 def _probe(path: str):
     """Class of one character as the vocabulary file's own splitter sees it (only for code
     points that Python's Unicode tables do not know yet)."""
-    from tokenizers import Tokenizer
-    split = Tokenizer.from_file(path).pre_tokenizer
+    split = None
 
     def kind(c: str) -> int:
+        nonlocal split
+        if split is None:                    # few texts have such a character
+            from tokenizers import Tokenizer
+            split = Tokenizer.from_file(path).pre_tokenizer
         spans = [s for _, s in split.pre_tokenize_str(f"a{c}b1{c}2!{c}!")]
         return LETTER if (0, 3) in spans else NUMBER if (3, 6) in spans else OTHER if (6, 9) in spans else SPACE
     return kind
 
 
 class Encoder:
-    """Per-process encoder: the automaton, the splitter and the words met so far.
+    """Per-process encoder: the automaton, the splitter and the words met lately.
 
-    ``most`` bounds the memo of words (a full memo is emptied, never wrong)."""
+    ``most`` bounds the memory of the words kept, in bytes: they are kept in two halves, and when the
+    newer one is full it becomes the older one, so words in use stay."""
 
     _made: dict[str, "Encoder"] = {}
+    #: About what Python takes for one word's entry besides its bytes.
+    ENTRY = 280
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 64 << 20):
         self.automaton = Automaton.load(path)
         self.splitter = Splitter(_probe(path))
-        self.memo: dict[bytes, tuple[int, bytes, bytes, tuple[int, ...]]] = {}
-        self.most = most
+        self.new: dict[bytes, tuple[int, bytes, bytes]] = {}
+        self.old: dict[bytes, tuple[int, bytes, bytes]] = {}
+        self.most, self.held = most, 0
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -365,19 +415,31 @@ class Encoder:
             cls._made = {path: cls(path)}
         return cls._made[path]
 
-    def words(self, distinct: list[bytes]) -> list[tuple[int, bytes, bytes, tuple[int, ...]]]:
-        """(number of ids, ids as text, emitted arc labels, ids) of pre-split words."""
-        memo, label = self.memo, self.automaton.label
-        new = [w for w in distinct if w not in memo]
-        fresh = {}
-        for w, ids in zip(new, self.automaton.encode_words(new)):
-            fresh[w] = (len(ids), ",".join(map(str, ids)).encode(), b"".join([label[i] for i in ids]), tuple(ids))
-        out = [memo[w] if w in memo else fresh[w] for w in distinct]
-        if len(memo) + len(fresh) > self.most:
-            memo.clear()
-        memo.update((w, got) for w, got in fresh.items() if len(w) <= self.automaton.WIDE)
+    def words(self, distinct: list[bytes]) -> list[tuple[int, bytes, bytes]]:
+        """(number of ids, ids as text, emitted arc labels) of pre-split words."""
+        label, wide = self.automaton.label, self.automaton.WIDE
+        out = list(map(self.new.get, distinct))
+        missing = []
+        for i in [i for i, got in enumerate(out) if got is None]:
+            w = distinct[i]
+            got = out[i] = self.old.get(w)
+            if got is None:
+                missing.append(i)
+            else:
+                self._keep(w, got)
+        for i, ids in zip(missing, self.automaton.encode_words([distinct[i] for i in missing])):
+            w, emitted = distinct[i], b"".join([label(t) for t in ids])
+            out[i] = (len(ids), ",".join(map(str, ids)).encode(), w if emitted == w else emitted)
+            if len(w) <= wide:
+                self._keep(w, out[i])
         return out
 
+    def _keep(self, word: bytes, got: tuple[int, bytes, bytes]) -> None:
+        self.new[word] = got
+        self.held += self.ENTRY + 2 * len(word)
+        if self.held > self.most // 2:
+            self.old, self.new, self.held = self.new, {}, 0
+
     def pieces(self, text: str) -> list[tuple[str, int | None]]:
         """The text cut at added tokens: (ordinary text, None) or (token, its id)."""
         out: list[tuple[str, int | None]] = [(text, None)]
@@ -396,7 +458,7 @@ class Encoder:
                 out = cutup
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[int, bytes, bytes, tuple[int, ...]]]]:
+    def encode(self, texts: list[str]) -> Iterator[list[tuple[int, bytes, bytes]]]:
         """For each text its words, each as :meth:`words` gives them."""
         for lo, hi in slabs(texts):
             yield from self._slab(texts[lo:hi])
@@ -434,7 +496,7 @@ class Encoder:
         for p, d in enumerate(owner):
             if p in special:
                 i = special[p]
-                out[d].append((1, str(i).encode(), self.automaton.label[i], (i,)))
+                out[d].append((1, str(i).encode(), self.automaton.label(i)))
             else:
                 out[d] += found[p]
         return out
@@ -492,7 +554,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", keep: t
                 rows[1].append(hashlib.sha256(b",".join([w[1] for w in words])).hexdigest())
                 rows[2].append(hashlib.sha256(raw).hexdigest())
                 if with_ids:
-                    rows[3].append([i for w in words for i in w[3]])
+                    rows[3].append([int(i) for w in words for i in w[1].split(b",") if i])
                     rows[4].append(raw.decode("utf-8"))
             arrays = [batch.column(i) for i in range(len(keep))]
             arrays += [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())]
