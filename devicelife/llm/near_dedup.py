@@ -17,12 +17,14 @@ their weighted sets.
   ``similarity``.
 * Groups: connected components. Pairs inside a bucket are not all listed:
   a class is checked against one leader of its buckets a round (leaders are
-  chosen by another hash each round); after each round components are
-  formed, and only buckets that still hold more than one component go on.
-  Classes left after ``leader_rounds`` are searched exactly across
-  components by shingle prefixes (:func:`_prefixes`), again leaders first,
-  then all pairs that remain. So every candidate pair is inside one group,
-  verified, or ruled out: no link is lost.
+  chosen by another hash each round); a round's links join components, a
+  component then counts as one node, and only buckets that still hold more
+  than one go on. Classes left after ``leader_rounds`` are searched exactly
+  across components by shingle prefixes (:func:`_prefixes`), again leaders
+  first, then all pairs that remain, each once, gathered by a common prefix
+  shingle so that the sets of their classes are read once for many pairs. So
+  every candidate pair is inside one group, verified, or ruled out: no link
+  is lost.
 
 Recall: with 25 bands of 5 a pair of similarity 0.8 is a candidate with
 probability 0.99995.
@@ -175,32 +177,39 @@ def _sets(docs: DataFrame, text_col: str, wanted: DataFrame, size: int) -> DataF
     return cut(rows.select("_class", "_text").mapInArrow(run, schema).dropDuplicates(["_class"]))
 
 
+def _weights(names: np.ndarray, raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.int32) if raw else np.ones(len(names), dtype=np.int32)
+
+
+_LINK = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose probability Jaccard is at least ``similarity``."""
+    """The components (a, b) of the pairs of classes (a, b of components ca, cb) whose probability Jaccard is at least ``similarity``."""
     left = sets.select(F.col("_class").alias("a"), F.col("_names").alias("an"), F.col("_counts").alias("ac"))
     right = sets.select(F.col("_class").alias("b"), F.col("_names").alias("bn"), F.col("_counts").alias("bc"))
-    schema = StructType([StructField("a", BinaryType()), StructField("b", BinaryType()), StructField("similarity", DoubleType())])
-
-    def weights(names: np.ndarray, raw: bytes) -> np.ndarray:
-        return np.frombuffer(raw, dtype=np.int32) if raw else np.ones(len(names), dtype=np.int32)
 
     def run(batches):
         for batch in batches:
-            out = ([], [], [])
-            a, b, an, ac, bn, bc = (batch.column(c) for c in range(6))
+            out = ([], [])
+            ca, cb, an, ac, bn, bc = (batch.column(c) for c in range(6))
             for i in range(batch.num_rows):
                 x, y = np.frombuffer(an[i].as_py(), dtype=U64), np.frombuffer(bn[i].as_py(), dtype=U64)
                 if min(len(x), len(y)) == 0:
                     continue
-                sim = probability_jaccard(x, weights(x, ac[i].as_py()), y, weights(y, bc[i].as_py()))
-                if sim >= similarity:
-                    out[0].append(a[i].as_py())
-                    out[1].append(b[i].as_py())
-                    out[2].append(sim)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()),
-                                              pa.array(out[2], pa.float64())], names=schema.fieldNames())
+                if probability_jaccard(x, _weights(x, ac[i].as_py()), y, _weights(y, bc[i].as_py())) >= similarity:
+                    out[0].append(ca[i].as_py())
+                    out[1].append(cb[i].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], names=_LINK.fieldNames())
+
+    return pairs.join(left, "a").join(right, "b").select("ca", "cb", "an", "ac", "bn", "bc").mapInArrow(run, _LINK)
+
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "an", "ac", "bn", "bc").mapInArrow(run, schema)
+def _joined(open_: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Give the rows of ``open_`` the components that links between components make; also the renamed components."""
+    roots = cut(components(links).select(F.col("node").alias("_comp"), F.col("component").alias("_root")))
+    moved = open_.join(roots, "_comp", "left").withColumn("_comp", F.coalesce("_root", "_comp")).select(*open_.columns)
+    return moved, roots
 
 
 def _mixed(open_: DataFrame) -> DataFrame:
@@ -209,9 +218,10 @@ def _mixed(open_: DataFrame) -> DataFrame:
     return cut(open_.join(keys, "_key"))
 
 
-def _leader_rounds(open_: DataFrame, links: DataFrame | None, sets: DataFrame, similarity: float, rounds: int, central: bool):
+def _leader_rounds(open_: DataFrame, steps: list[DataFrame], sets: DataFrame, similarity: float, rounds: int, central: bool) -> DataFrame:
     """Verify each class of ``open_`` (_class, _key, _n: members of the key, _comp) against one leader a
-    round and join components. Returns all links so far and what is still open.
+    round and join components. Returns what is still open; ``steps`` grows by the components renamed in each
+    round, so that a round only handles links between components that were still apart.
 
     ``central``: leaders are classes that meet many others, as those near the middle of a group do;
     otherwise a class takes the leader of any of its keys, another one each round."""
@@ -223,17 +233,14 @@ def _leader_rounds(open_: DataFrame, links: DataFrame | None, sets: DataFrame, s
             ranked = open_.withColumn("_first", F.xxhash64("_key", F.lit(turn)))
         rank = F.struct("_first", F.xxhash64("_class", F.lit(turn)))
         led = ranked.groupBy("_key").agg(F.min(F.struct(rank.alias("_rank"), "_class", "_comp")).alias("_lead"))
-        pairs = (open_.join(led, "_key").filter("_comp <> _lead._comp").groupBy(F.col("_class").alias("a"))
-                 .agg(F.min("_lead").alias("_lead")).select("a", F.col("_lead._class").alias("b")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = _verified(pairs, sets, similarity).select("a", "b")
-        links = cut(found if links is None else links.unionByName(found))
-        comp = components(links).withColumnRenamed("node", "_class").withColumnRenamed("component", "_joined")
-        open_ = open_.join(comp, "_class", "left").withColumn("_comp", F.coalesce("_joined", "_class")).drop("_joined")
+        pairs = (open_.join(led, "_key").filter("_comp <> _lead._comp").groupBy(F.col("_class").alias("a"), F.col("_comp").alias("ca"))
+                 .agg(F.min("_lead").alias("_lead")).select("a", "ca", F.col("_lead._class").alias("b"), F.col("_lead._comp").alias("cb")))
+        open_, roots = _joined(open_, _verified(pairs, sets, similarity))
+        steps.append(roots)
         open_ = _mixed(open_)
         if open_.isEmpty():
             break
-    return links, open_
+    return open_
 
 
 def _prefixes(classes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -247,15 +254,27 @@ def _prefixes(classes: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     schema = StructType([StructField("_class", BinaryType()), StructField("_name", LongType()), StructField("_mass", DoubleType()),
                          StructField("_size", LongType())])
 
+    def table(keys, names, masses, sizes):
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(keys, dtype=object), [len(n) for n in names]), pa.binary()),
+                                           pa.array(np.concatenate(names)), pa.array(np.concatenate(masses)),
+                                           pa.array([z for z, n in zip(sizes, names) for _ in range(len(n))], pa.int64())], names=schema.fieldNames())
+
     def run(batches):
         for batch in batches:
+            keys, names, masses, sizes, held = [], [], [], [], 0
             for i in range(batch.num_rows):
-                names, counts = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-                name = np.frombuffer(names, dtype=np.int64)
-                mass = np.frombuffer(counts, dtype=np.int32).astype(float) if counts else np.ones(len(name))
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()] * len(name), pa.binary()), pa.array(name),
-                                                  pa.array(mass / max(1.0, mass.sum())), pa.array([None if counts else len(name)] * len(name), pa.int64())],
-                                                 names=schema.fieldNames())
+                name, counts = np.frombuffer(batch.column(1)[i].as_py(), dtype=np.int64), batch.column(2)[i].as_py()
+                mass = _weights(name, counts).astype(float)
+                keys.append(batch.column(0)[i].as_py())
+                names.append(name)
+                masses.append(mass / max(1.0, mass.sum()))
+                sizes.append(None if counts else len(name))
+                held += len(name)
+                if held > 100_000:
+                    yield table(keys, names, masses, sizes)
+                    keys, names, masses, sizes, held = [], [], [], [], 0
+            if keys:
+                yield table(keys, names, masses, sizes)
 
     each = sets.join(classes, "_class", "left_semi").select("_class", "_names", "_counts").mapInArrow(run, schema)
     common = each.groupBy("_name").agg(F.count("*").alias("_df"))
@@ -265,13 +284,47 @@ def _prefixes(classes: DataFrame, sets: DataFrame, similarity: float) -> DataFra
 
 
 def _remaining_pairs(prefix: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of classes in different components that share a prefix shingle and can reach the similarity."""
-    a, b = (prefix.select("_name", F.col("_class").alias(x), F.col("_comp").alias(f"_{x}"), F.col("_passed").alias(f"{x}p"), F.col("_size").alias(f"{x}n"))
-            for x in "ab")
+    """Pairs of classes in different components that share a prefix shingle and can reach the similarity.
+
+    Each pair comes once, from the first of its common prefix shingles in the order of the prefixes: only there the
+    positions bound what can follow. Its ``place`` is the smallest common one, where the pairs of a group gather."""
+    order = F.transform(F.sort_array(F.collect_list(F.struct("_n", "_name"))), lambda x: x["_name"])
+    rows = prefix.join(prefix.groupBy("_class").agg(order.alias("_all")), "_class")
+    a, b = (rows.select("_name", F.col("_class").alias(x), F.col("_comp").alias(f"c{x}"), F.col("_passed").alias(f"{x}p"), F.col("_size").alias(f"{x}n"),
+                        F.col("_all").alias(f"{x}all")) for x in "ab")
     # without counts the measure is the Jaccard index: what both have left bounds the common shingles
     most = F.least(F.col("an") * (1 - F.col("ap")), F.col("bn") * (1 - F.col("bp")))
     reach = F.coalesce(most >= similarity * (F.col("an") + F.col("bn") - most) - 1e-6, F.lit(True))
-    return a.join(b, "_name").filter((F.col("_a") < F.col("_b")) & reach).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = a.join(b, "_name").filter((F.col("ca") < F.col("cb")) & reach)
+    common = F.array_intersect("aall", "ball")
+    return met.filter(F.col("_name") == common[0]).select(F.array_min(common).alias("place"), "a", "b", "ca", "cb")
+
+
+def _verified_together(pairs: DataFrame, sets: DataFrame, similarity: float, members: int = 512) -> DataFrame:
+    """:func:`_verified` for many pairs among the classes of a place: a set moves once per place and block of
+    ``members`` classes, not once per pair."""
+    pairs = cut(pairs)
+    classes = pairs.select("place", F.col("a").alias("_class")).unionByName(pairs.select("place", F.col("b").alias("_class"))).distinct()
+    blocks = classes.groupBy("place").agg(F.ceil(F.count("*") / members).alias("_blocks"))
+    at = lambda c: F.pmod(F.xxhash64(c), F.col("_blocks"))
+    keyed = pairs.join(blocks, "place").select("place", at("a").alias("i"), at("b").alias("j"), "a", "b", "ca", "cb")
+    needed = keyed.select("place", "i", "j", F.col("a").alias("_class")).unionByName(keyed.select("place", "i", "j", F.col("b").alias("_class"))).distinct()
+
+    def run(left, right):
+        held = {k: (np.frombuffer(n, dtype=U64), c) for k, n, c in zip(right["_class"], right["_names"], right["_counts"])}
+        keep = []
+        for a, b in zip(left["a"], left["b"]):
+            (x, xc), (y, yc) = held.get(a, _NONE), held.get(b, _NONE)
+            keep.append(min(len(x), len(y)) > 0 and probability_jaccard(x, _weights(x, xc), y, _weights(y, yc)) >= similarity)
+        found = left[np.array(keep, dtype=bool)]
+        return found[["ca", "cb"]].rename(columns={"ca": "a", "cb": "b"}).drop_duplicates()
+
+    key = ["place", "i", "j"]
+    held = needed.join(sets, "_class").select(*[F.col(k).alias(f"_{k}") for k in key], "_class", "_names", "_counts")
+    return keyed.groupBy(*key).cogroup(held.groupBy(*[f"_{k}" for k in key])).applyInPandas(run, _LINK)
+
+
+_NONE = (np.zeros(0, dtype=U64), b"")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle: int = 5,
@@ -288,21 +341,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     member = cut(member.join(shared, "_key"))
     sets = _sets(src, "_text", classes.join(member.select("_class").distinct(), "_class", "left_semi"), shingle)
 
-    found, open_ = _leader_rounds(member.withColumn("_comp", F.col("_class")), None, sets, similarity, leader_rounds, central=True)
+    steps: list[DataFrame] = []
+    open_ = _leader_rounds(member.withColumn("_comp", F.col("_class")), steps, sets, similarity, leader_rounds, central=True)
     if not open_.isEmpty():
         # what band leaders did not join: the same by shared prefix shingles, then all pairs that remain
         prefix = cut(_prefixes(open_.select("_class").distinct(), sets, similarity))
-        comp = components(found).withColumnRenamed("node", "_class").withColumnRenamed("component", "_comp")
-        named = prefix.select("_class", F.col("_name").alias("_key"), "_df").join(comp, "_class", "left")
-        named = named.withColumn("_comp", F.coalesce("_comp", "_class")).withColumnRenamed("_df", "_n")
-        found, open_ = _leader_rounds(_mixed(named), found, sets, similarity, 1, central=False)
-        pairs = _remaining_pairs(prefix.join(open_.select("_class", F.col("_key").alias("_name"), "_comp"), ["_class", "_name"]), similarity)
-        found = cut(found.unionByName(_verified(pairs, sets, similarity).select("a", "b")))
-    comp = components(found)
-    comp = cut(comp)
-
-    grouped = classes.join(comp.withColumnRenamed("node", "_class"), "_class", "left").select(
-        "_class", "_rep", "_rows", F.coalesce("component", "_class").alias("_comp"))
+        named = prefix.join(open_.select("_class", "_comp").distinct(), "_class").withColumnsRenamed({"_name": "_key", "_df": "_n"})
+        open_ = _leader_rounds(_mixed(named), steps, sets, similarity, 1, central=False)
+        if not open_.isEmpty():
+            pairs = _remaining_pairs(open_.withColumnRenamed("_key", "_name"), similarity)
+            steps.append(cut(components(_verified_together(pairs, sets, similarity)).select(
+                F.col("node").alias("_comp"), F.col("component").alias("_root"))))
+    grouped = classes.select("_class", "_rep", "_rows", F.col("_class").alias("_comp"))
+    for roots in steps:
+        grouped = grouped.join(roots, "_comp", "left").select("_class", "_rep", "_rows", F.coalesce("_root", "_comp").alias("_comp"))
+    grouped = cut(grouped)
     summary = grouped.groupBy("_comp").agg(F.min("_rep").alias("group_id"), F.sum("_rows").alias("group_size"))
     named = grouped.join(summary, "_comp").select("_class", F.col("_rep").alias("class_id"), "group_id", "group_size")
     return signed.select("_id", "_class").join(named, "_class").select(
