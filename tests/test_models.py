@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from devicelife import session
-from devicelife.operators import model
+from devicelife.operators import boosting, model
 from devicelife.sources import report
 from small_tables import SF_SMALL
 
@@ -24,37 +24,35 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
         session.ensure_checkpoint_dir(cluster)
 
 
-def test_defaults_and_depth_limit():
-    assert model.ModelParams().maxIter == 1000 and len(model.grid_points()) == 12
-    with pytest.raises(ValueError, match="depth 31"):
-        model.gbt(model.ModelParams(maxDepth=31))
+def test_defaults():
+    assert model.ModelParams().maxIter == 1000 and model.ModelParams().l1 == 0.25 and len(model.grid_points()) == 12
+    with pytest.raises(ValueError, match="depth -1"):
+        model.ModelParams(maxDepth=-1).boost()
 
 
-def test_search_runs_every_point_and_selects_once_a_fold(spark, monkeypatch):
-    fits = []
-    one = model.select_by_importance
-    monkeypatch.setattr(model, "select_by_importance", lambda *a, **k: fits.append(a[3]) or one(*a, **k))
+def few_rounds(monkeypatch):
+    """Fits of three rounds; returns the parameters that were asked for."""
+    asked, real = [], boosting.fit_models
+    def fit(df, features, label, jobs, *a, **k):
+        asked.append([j["params"] for j in jobs])
+        return real(df, features, label, [j | {"params": replace(j["params"], rounds=3)} for j in jobs], *a, **k)
+    monkeypatch.setattr(boosting, "fit_models", fit)
+    return asked
+
+
+def test_registered_queries_ask_for_the_sources_rounds_and_grid(spark, monkeypatch):
+    asked = few_rounds(monkeypatch)
     rows = E.queries()["search"](spark, SF_SMALL).collect()
+    base, points = asked
     assert len(rows) == 24 and len({r.point for r in rows}) == 12
-    assert len(fits) == 2 and {p.maxDepth for p in fits} == {3}
+    assert base == [model.ModelParams().boost()] * 2 and len(points) == 24
+    assert {p.rounds for p in points} == {1000} and {p.l1 for p in points} == {0.25}
+    assert {(p.step, p.depth) for p in points} == {(0.01, 10), (0.01, 15), (0.1, 10), (0.1, 15)}
+    assert {p.pos_weight for p in points} == {0.75, 1.0, 1.25}
 
 
-def test_registered_queries_ask_for_the_sources_rounds_and_grid(spark, monkeypatch):
-    asked = []
-    real = model.gbt
-    tiny = lambda p: replace(p, maxIter=1, maxDepth=1)  # noqa: E731  (what is asked for is tested, not its fit)
-    monkeypatch.setattr(model, "gbt", lambda p, *a, **k: asked.append(p) or real(tiny(p), *a, **k))
-    E.queries()["search"](spark, SF_SMALL)
-    base, points = asked[:2], asked[2:]
-    assert base == [model.ModelParams()] * 2 and len(points) == 24
-    assert {p.maxIter for p in points} == {1000}
-    assert {(p.stepSize, p.maxDepth) for p in points} == {(0.01, 10), (0.01, 15), (0.1, 10), (0.1, 15)}
-    del asked[:]
-    E.queries()["select_by_importance"](spark, SF_SMALL)
-    assert asked == [model.ModelParams()] * 2
-
-
-def test_loaded_scores_equal_saved_scores(spark):
+def test_bundle_query_scores_alike_after_loading(spark, monkeypatch):
+    few_rounds(monkeypatch)
     got = E.queries()["bundle_roundtrip"](spark, SF_SMALL).collect()
     assert got and all(r.same for r in got)
 
