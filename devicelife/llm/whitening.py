@@ -168,12 +168,15 @@ def eigen(a: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     k = min(k, len(a))
     if not k:
         return np.zeros(0), np.zeros((len(a), 0))
-    diag, off, reflections = tridiagonal(a)
+    size = float(np.abs(a).max())
+    if size == 0.0:
+        return np.zeros(k), np.eye(len(a))[:, :k]
+    diag, off, reflections = tridiagonal(a / size)
     values = leading_eigenvalues(diag, off, k)
     vectors = leading_eigenvectors(diag, off, values)
     for at, v in reversed(reflections):
         vectors[at:] -= 2.0 * np.outer(v, v @ vectors[at:])
-    return values, vectors
+    return values * size, vectors
 
 
 def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
