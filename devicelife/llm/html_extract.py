@@ -7,7 +7,11 @@ pages*: pages that mark their article themselves (one ``<article>``
 element). One linear scan finds the contiguous run of tokens with the
 largest total, the content region. Marked-up boilerplate inside the region
 (scripts, styles, navigation, adverts, forms, comments and the like) is
-left out of the text.
+left out of the text: an element counts as boilerplate by its kind (navigation,
+footer, form, script, ...), or when the parts of its class and id names speak
+against it. Parts have weights like words and tags: learned where the
+labelled pages show them, else from a short list; standing inside an article
+and holding running text count in the element's favour.
 
 Weights: a word's is ``2 P(article | place) - 1``, a tag's is ``-(0.05 +
 0.3 P(outside | tag))``, both from smoothed counts over at most about
@@ -44,13 +48,23 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title noscript template iframe svg math object".split())
 SKIP = set("script style noscript template iframe svg math object head title nav footer aside form button select textarea "
            "input label option dialog menu canvas audio video map".split())
-#: Tokens of class, id and role attributes that mark boilerplate: one such word, or several joined (cookie-banner).
-NOISE = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios "
-            "consent cookie cookies disclaimer disqus footer form gdpr login masthead menu modal nav navbar navigation newsletter "
-            "notice notices pagination pager popup promo promoted recommended related replies reply respond share sharing sidebar "
-            "signup skip social sponsor sponsored subscribe tags toolbar topbar widget widgets complementary contentinfo search "
-            "alert discussion reactions cta copyright legal".split())
-PART = re.compile(r"[-_]")
+# Parts of class and id names and how strongly one speaks against its element, where the labelled
+# pages do not show it; and role values of page furniture.
+PARTS = {
+    **dict.fromkeys("ad ads adv advert adverts advertisement advertising banner comment comments comentarios consent cookie cookies "
+                    "disqus gdpr newsletter popup promo promoted sponsor sponsored subscribe".split(), -3.0),
+    **dict.fromkeys("alert breadcrumb breadcrumbs footer login masthead menu modal nav navbar navigation notice notices pager pagination "
+                    "recommended related replies reply respond share sharing sidebar signup skip social toolbar topbar widget "
+                    "widgets".split(), -2.0),
+    **dict.fromkeys("copyright cta disclaimer discussion form legal reactions search tags".split(), -1.0)}
+ROLES = set("complementary contentinfo navigation search banner alert dialog menu toolbar".split())
+#: A name with one of these tells what its element has or lacks, not what it is (has-sidebar, no-comments).
+HAVING = set("has have no not with without is".split())
+PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+#: Elements that hold running text themselves.
+TEXTUAL = set("p h1 h2 h3 h4 h5 h6 blockquote pre dt dd td th figcaption".split())
+#: How many labelled elements a name part needs before what they show counts half.
+SEEN_HALF = 20
 #: Elements whose id is the target of a link, not the name of a part of the page.
 ANCHORS = set("h1 h2 h3 h4 h5 h6 a".split())
 CLOSES = {"p": BLOCK - {"br", "hr", "body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
@@ -61,47 +75,68 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a
 #: One attribute: its name and its whole value, if it has one.
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 
-TAG_DEFAULT, WORD_DEFAULT, LINK_DEFAULT, NOISE_DEFAULT = -0.2, 0.6, -0.3, -1.0
+TAG_DEFAULT, WORD_DEFAULT, LINK_DEFAULT, NOISE_DEFAULT, BEHIND_DEFAULT = -0.2, 0.6, -0.3, -1.0, -0.5
 #: The least that one run of boilerplate tokens adds up to: an advert or form inside an article must
 #: not cut the article in two, whatever its length.
 NOISE_LEAST = -1.0
 
 
-def _marked(name: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
-    """Whether an element is boilerplate by its kind or as hidden, and whether only its class, id or role says so."""
+def name_parts(value: str) -> set[str]:
+    """Lower-case parts of the names in an attribute's value: split at anything but letters, and where a capital begins a part."""
+    out: set[str] = set()
+    for name in value.split():
+        parts = {p.lower() for p in PART.findall(name)}
+        if not parts & HAVING:
+            out |= parts
+    return out
+
+
+def _marked(name: str, attributes: str, inside_article: bool, weights: dict[str, float]) -> tuple[bool, float, set[str]]:
+    """Whether an element is boilerplate by its kind or as hidden; how its names score (below 0: they speak
+    against it); and the parts of its names.
+
+    The names' score is that of their worst part (learned, else as listed), one better inside an article and
+    one better for an element that holds running text itself."""
     if name in SKIP or (name == "header" and not inside_article):
-        return True, False
+        return True, 0.0, set()
     if not attributes or name in ("html", "body", "article", "main"):
-        return False, False
-    named = False
+        return False, 0.0, set()
+    parts: set[str] = set()
+    worst = 0.0
     for key, value in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (
-                key == "style" and "display:none" in value.replace(" ", "")):
-            return True, False
+        key, value = key.lower(), value.strip("\"'")
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (
+                key == "style" and "display:none" in value.lower().replace(" ", "")):
+            return True, 0.0, set()
+        if key == "role" and value.lower() in ROLES:
+            worst = -3.0
         # ids of headings and links, and of sections of an article, are anchors
-        if key in ("class", "role") or (key == "id" and name not in ANCHORS and not (name == "section" and inside_article)):
-            named = named or any(NOISE.issuperset(PART.split(token)) for token in value.split())
-    return False, named
+        if key == "class" or (key == "id" and name not in ANCHORS and not (name == "section" and inside_article)):
+            parts |= name_parts(value)
+    worst = min([worst, *[weights.get(f"n:{p}", PARTS.get(p, 0.0)) for p in parts]])
+    return False, worst + inside_article + (name in TEXTUAL) if worst < 0 else 0.0, parts
 
 
-def scan(page: str) -> list[tuple[str, str, bool, bool]]:
+def scan(page: str, weights: dict[str, float] | None = None) -> list[tuple[str, str, bool, bool]]:
     """Tokens of a page: (feature, text, boilerplate, inside an article element).
 
-    A text token holds a piece of text (its feature is its words' place); a tag token's text is a
-    line feed if the tag ends a block, else empty.
+    A text token holds a piece of text (its feature is its words' place: ``w``, ``x`` in boilerplate, ``o``
+    behind the last article or main element); a tag token's text is a line feed if the tag ends a block, else
+    empty; a token ``n:part`` without text stands for a part of an element's names.
 
-    An element that only its class, id or role marks is no boilerplate if it holds an article or main
-    element, or most of the words that stand neither in boilerplate by kind nor in links, unless the page has
-    an article or main element elsewhere."""
-    out, named, words, marked = _scan(page, frozenset())
-    kept = frozenset(at for at, (held, holds, inside) in named.items() if holds or (2 * held > words and (inside or not marked)))
-    return _scan(page, kept)[0] if kept else out
+    An element that only its names speak against is no boilerplate if it holds an article or main element, or,
+    unless a part speaks most strongly, most of the words that stand neither in boilerplate by kind nor in links,
+    unless the page has an article or main element elsewhere."""
+    weights = weights or {}
+    out, named, words, marked = _scan(page, frozenset(), weights)
+    kept = frozenset(at for at, (held, holds, inside, score) in named.items()
+                     if holds or (score > -2 and 2 * held > words and (inside or not marked)))
+    return _scan(page, kept, weights)[0] if kept else out
 
 
-def _scan(page: str, kept: frozenset[int]) -> tuple[list[tuple[str, str, bool, bool]], dict[int, list], int, bool]:
-    """The tokens; of each element marked by name only, by its place in the page, its words and whether it
-    holds or is in an article or main; all words; whether the page has an article or main. ``kept``: such elements that are no boilerplate."""
+def _scan(page: str, kept: frozenset[int], weights: dict[str, float]) -> tuple[list[tuple[str, str, bool, bool]], dict[int, list], int, bool]:
+    """The tokens; of each element that its names speak against, by its place in the page, its words, whether it
+    holds or is in an article or main, and its names' score; all words; whether the page has an article or main. ``kept``: such elements that are no boilerplate."""
     out: list[tuple[str, str, bool, bool]] = []
     # open elements, whether each starts boilerplate, and whether by its kind
     stack: list[tuple[str, bool, bool]] = []
@@ -109,12 +144,15 @@ def _scan(page: str, kept: frozenset[int]) -> tuple[list[tuple[str, str, bool, b
     begun: dict[int, tuple[int, int]] = {}      # of those still open, by depth: place and words before
     noise = sure = article = links = words = 0
     marked = False
+    behind = None                               # tokens before the end of the last article or main
     place = "body"
     at = 0
 
     def leave(entry: tuple[str, bool, bool]) -> None:
-        nonlocal noise, sure, article, links
+        nonlocal noise, sure, article, links, behind
         name, bad, kind = entry
+        if name in ("article", "main"):
+            behind = len(out)
         noise -= bad
         sure -= kind
         if len(stack) in begun:
@@ -155,13 +193,15 @@ def _scan(page: str, kept: frozenset[int]) -> tuple[list[tuple[str, str, bool, b
         elif name not in VOID:
             while stack and name in CLOSES.get(stack[-1][0], ()):
                 leave(stack.pop())
-            kind, by_name = _marked(name, m.group(3) or "", article > 0)
+            kind, score, parts = _marked(name, m.group(3) or "", article > 0, weights)
+            by_name = score < 0
+            out += [(f"n:{p}", "", noise > 0, article > 0) for p in sorted(parts)]
             if name in ("article", "main"):
                 marked = True
                 for place_of, _ in begun.values():
                     named[place_of][1] = True
             if by_name:
-                named[m.start()] = [0, False, any(n in ("article", "main") for n, *_ in stack)]
+                named[m.start()] = [0, False, any(n in ("article", "main") for n, *_ in stack), score]
                 begun[len(stack)] = (m.start(), words)
             bad = kind or (by_name and m.start() not in kept)
             stack.append((name, bad, kind))
@@ -182,8 +222,11 @@ def _scan(page: str, kept: frozenset[int]) -> tuple[list[tuple[str, str, bool, b
             at = end.end() if end else len(page)
             leave(stack.pop())
             place = where()
+    open_ = any(n in ("article", "main") for n, *_ in stack)
     while stack:
         leave(stack.pop())
+    if behind is not None and not open_:
+        out[behind:] = [("o" + f[1:] if f[:2] == "w:" else f, piece, bad, inside) for f, piece, bad, inside in out[behind:]]
     return out, named, words, marked
 
 
@@ -197,6 +240,8 @@ def weight_of(feature: str, weights: dict[str, float]) -> float:
         return known
     if feature[1:2] != ":":
         return TAG_DEFAULT
+    if feature[0] == "o":
+        return BEHIND_DEFAULT
     return NOISE_DEFAULT if feature[0] == "x" else LINK_DEFAULT if feature.endswith(":a") else WORD_DEFAULT
 
 
@@ -204,7 +249,7 @@ def region(found: list[tuple[str, str, bool, bool]], weights: dict[str, float])
     """First and last-plus-one token of the maximum-scoring subsequence (one linear scan)."""
     best, span, total, start, spent = 0.0, (0, 0), 0.0, 0, 0.0
     for i, (feature, piece, noise, _) in enumerate(found):
-        if not feature:
+        if not feature or feature[:2] == "n:":
             continue
         word = feature[1:2] == ":"
         add = weight_of(feature, weights) * (_words(piece) if word else 1)
@@ -223,7 +268,7 @@ def region(found: list[tuple[str, str, bool, bool]], weights: dict[str, float])
 
 def extract(page: str, weights: dict[str, float]) -> str:
     """The content region's text without marked-up boilerplate."""
-    found = scan(page)
+    found = scan(page, weights)
     lo, hi = region(found, weights)
     pieces = [piece if piece == "\n" and feature else html.unescape(piece)
               for feature, piece, noise, _ in found[lo:hi] if not noise or piece == "\n"]
@@ -248,7 +293,7 @@ def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", max_p
                 for feature, piece, _, inside in scan(page):
                     if feature:
                         k = (feature, inside)
-                        total[k] = total.get(k, 0) + (_words(piece) if feature[1:2] == ":" else 1)
+                        total[k] = total.get(k, 0) + (_words(piece) if feature[1:2] == ":" and feature[0] != "n" else 1)
         keys = sorted(total)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()),
                                           pa.array([total[k] for k in keys], pa.int64())], names=schema.fieldNames())
@@ -260,6 +305,12 @@ def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", max_p
     weights = {}
     for feature, (out, inside) in counts.items():
         share = (inside + 1) / (out + inside + 2)
+        if feature[:2] == "n:":
+            # what an article holds may still be an advert: pages can only clear parts that are not listed, or add to them
+            part, n = feature[2:], out + inside
+            if part not in PARTS:
+                weights[feature] = (2 * share - 1) * n / (n + SEEN_HALF)
+            continue
         weights[feature] = 2 * share - 1 if feature[1:2] == ":" else -(0.05 + 0.3 * (1 - share))
     return weights
 

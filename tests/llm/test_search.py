@@ -227,3 +227,25 @@ def test_html_drops_marked_parts(part):
 
 def test_html_drops_a_long_advert_beside_a_short_article():
     assert html_extract.extract(f"<body><div class='ad'>{LONG}</div><article><p>Rain.</p></article></body>", {}) == "Rain."
+
+
+COMPOUND = ["ad-container", "comments-list", "sidebar-left", "related-posts", "cookie-bar", "ad-slot", "comment-section", "site-footer", "social-links",
+            "newsletter-box", "promo-block", "main-menu", "user-comments", "adBox", "ad1"]
+
+
+@pytest.mark.parametrize("learned", [False, True])
+def test_html_compound_names_and_names_of_topics(spark, learned):
+    weights = html_extract.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")) if learned else {}
+    body = "<p>" + "one two three four five six seven eight nine ten. " * 4 + "</p>"
+    want = " ".join(("one two three four five six seven eight nine ten. " * 4).split())
+    for name in COMPOUND:
+        box = f"<div class='{name}'><p>{'buy these great shoes now and save a lot today ' * 6}</p></div>"
+        for page in (f"<body><article>{body}{box}{body}</article></body>", f"<body><article>{body}{body}</article>{box}</body>",
+                     f"<body><div class='page has-sidebar no-comments'><article>{body}{box.replace('class', 'id')}{body}</article></div></body>"):
+            assert html_extract.extract(page, weights) == f"{want} {want}", (name, page[:60])
+    for kept in ("<p class='search'>", "<section class='copyright'>", "<section id='discussion'>", "<h2 id='related'>", "<div class='shadow download headline'>"):
+        close = kept.split()[0].replace("<", "</") + ">"
+        page = f"<body><article>{body}{kept}searching for words and more words{close}{body}</article></body>"
+        assert "searching for words" in html_extract.extract(page, weights), kept
+    behind = f"<body><article>{body}</article><p>a stray line about this site and its terms</p></body>"
+    assert html_extract.extract(behind, weights) == want
