@@ -26,21 +26,28 @@ def first_k_non_null(df: DataFrame, s: Series, value: str, k: int = 12, rn: str
     return scan.row_index(base, s, rn).where(F.col(rn) <= k)
 
 
+def _unit_hash(keys, seed: int) -> Column:
+    """A number in [0, 1) from the 53 lower bits of a hash of the keys (null keys included) and the seed."""
+    parts = [x for k in keys for x in (F.isnull(F.col(k)), F.col(k))]
+    return F.pmod(F.xxhash64(F.lit(int(seed)), *parts), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+
+
 def seed_slopes(first: DataFrame, s: Series, cols, k: int = 12, rn: str = "rn",
                 jitter=(1.0, 1.0), seed: int = 0) -> DataFrame:
     """Per series: ``v0 + k * slope`` for each column, from the first rows.
 
     ``slope = mean over i in 0..5 of (v[i] - v[i+5]) / 6``: a five-step
     difference divided by six, kept as the source computes it. ``jitter``
-    scales the slope by a seeded uniform factor (the source's factor is
-    unseeded, between 0.5 and 1.5); the default factor is exactly 1.
+    scales the slope by a uniform factor hashed from the series keys and the
+    seed, the same in any partitioning and on any retry (the source's factor
+    is unseeded, between 0.5 and 1.5); the default factor is exactly 1.
     """
     aggs = []
     for c in cols:
         aggs += [F.max(F.when(F.col(rn) == i + 1, F.col(c))).alias(f"_{c}_{i}") for i in range(k)]
     wide = first.groupBy(*s.keys).agg(*aggs)
     lo, hi = jitter
-    factor = F.lit(float(lo)) if lo == hi else F.lit(float(lo)) + F.lit(float(hi - lo)) * F.rand(seed)
+    factor = F.lit(float(lo)) if lo == hi else F.lit(float(lo)) + F.lit(float(hi - lo)) * _unit_hash(s.keys, seed)
     out = []
     for c in cols:
         v = [F.col(f"_{c}_{i}").cast("double") for i in range(k)]
@@ -217,6 +224,29 @@ def lookahead(df: DataFrame, s: Series, flag: Column, horizons: dict[str, int])
     return out.drop("_nf", "_na")
 
 
+def censoring(df: DataFrame, s: Series, flag: Column, horizons: dict[str, int], max_gap: int) -> DataFrame:
+    """``<name>_is_censored`` for each label ``name -> seconds`` of :func:`lookahead`: true when the
+    label was not observed to its end.
+
+    A label counts as observed when the row itself is flagged (it is 0 by definition), when a flagged
+    row lies in ``(t, t + seconds]``, or when the series has rows up to ``t + seconds`` with no step
+    between neighbouring times over ``max_gap`` seconds. The end of the data and every long gap thus
+    censor the rows before them. Two next-time scans, so chunked series stay chunked; rows without a
+    time are censored.
+    """
+    us = epoch_micros(s.ts)
+    gap = F.lit(int(max_gap) * 1_000_000)
+    out = scan.next_times(df, s, {"_nf": flag, "_na": F.lit(True)})
+    out = out.withColumn("_brk", F.col("_na").isNull() | (F.col("_na") - us > gap))
+    out = scan.next_times(out, s, {"_nb": F.col("_brk")})
+    reach = F.when(F.col("_brk"), us).otherwise(F.col("_nb"))       # the last time reached without a gap
+    for name, secs in horizons.items():
+        end = us + F.lit(int(secs) * 1_000_000)
+        seen = F.coalesce(flag, F.lit(False)) | F.coalesce(F.col("_nf") <= end, F.lit(False)) | F.coalesce(reach >= end, F.lit(False))
+        out = out.withColumn(f"{name}_is_censored", ~seen | us.isNull())
+    return out.drop("_nf", "_na", "_brk", "_nb")
+
+
 def finish_labels(df: DataFrame, s: Series, labels, flag: Column) -> DataFrame:
     """0 where the flag is already set; then carry labels forward over gaps."""
     tmp = {f"_fl_{c}": F.when(flag, F.lit(0)).otherwise(F.col(c)).cast("int") for c in labels}

@@ -434,6 +434,14 @@ def q_one_hot(spark, sf):
     return out
 
 
+@register("one_hot_long", """
+SELECT event_id, 'event_type' AS "column", nullif(event_type, 'view') AS value FROM events WHERE event_type <> 'view'
+UNION ALL SELECT event_id, 'user_id', CAST(user_id AS VARCHAR) FROM events WHERE user_id IS NOT NULL""")
+def q_one_hot_long(spark, sf):
+    ev = load(spark, sf, "events").select("event_id", F.nullif("event_type", F.lit("view")).alias("event_type"), "user_id")
+    return resample.one_hot_long(ev, "event_id", ["event_type", "user_id"])
+
+
 @register("bucket_mixed_agg", f"""
 SELECT date_trunc('hour', ts) AS bucket, {_flag_sql(agg='max')},
        round(coalesce(sum(value), 0), 6) AS value, round(avg(value), 6) AS value_avg
@@ -469,6 +477,59 @@ WITH f AS (SELECT user_id, ts, event_id, v, row_number() OVER ({W_USER}) AS rn
            FROM ({EVV}) e WHERE v IS NOT NULL)"""
 
 
+@register("flatten_bucket_sum_once", f"""
+WITH src AS (SELECT DISTINCT * FROM (
+       SELECT event_id, user_id, ts, event_type, v FROM ({EVV}) e WHERE ts < TIMESTAMP '2024-01-16 00:00:00'
+       UNION ALL
+       SELECT event_id, user_id, ts, event_type, v FROM ({EVV}) e WHERE ts >= TIMESTAMP '2024-01-10 00:00:00') u),
+b AS (SELECT {BUCKET5} AS bucket, event_type, user_id, v FROM src),
+s AS (SELECT bucket, min(event_type) AS mn1, max(event_type) AS mx1, min(user_id) AS mn2, max(user_id) AS mx2,
+             coalesce(sum(v), 0) AS v FROM b GROUP BY bucket),
+h AS (SELECT DISTINCT b.bucket,
+        CASE WHEN s.mn1 IS NOT DISTINCT FROM s.mx1 THEN s.mx1 ELSE b.event_type END AS event_type,
+        CASE WHEN s.mn2 IS NOT DISTINCT FROM s.mx2 THEN s.mx2 ELSE b.user_id END AS user_id, s.v
+      FROM b JOIN s ON b.bucket = s.bucket),
+o AS (SELECT bucket, user_id, v, {_flag_sql()} FROM h),
+a AS (SELECT bucket, {', '.join(f'CAST(max(event_type_{c}) AS INTEGER) AS event_type_{c}' for c in EVENT_TYPES)}
+      FROM o GROUP BY bucket)
+SELECT DISTINCT o.bucket, o.user_id, {', '.join(f'a.event_type_{c}' for c in EVENT_TYPES)}, round(o.v, 6) AS v,
+       CAST(hour(o.bucket) AS INTEGER) AS Hour, CAST(minute(o.bucket) AS INTEGER) AS Minute,
+       CAST(month(o.bucket) AS INTEGER) AS Month
+FROM o JOIN a ON o.bucket = a.bucket""")
+def q_flatten_bucket_sum_once(spark, sf):
+    ev = events(spark, sf).select("event_id", "user_id", "ts", "event_type", "v")
+    a = ev.where(F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
+    b = ev.where(F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    src = report.union_tables([a, b], dedup=True)
+    rows = src.select(tf.time_bucket("ts", 300).alias("bucket"), "event_type", "user_id", "v")
+    h = resample.harmonise(rows, [], "bucket", ["event_type", "user_id"], once=["v"])
+    oh, flags = resample.one_hot(h, ["event_type"], {"event_type": EVENT_TYPES})
+    return rounded(resample.flatten_buckets(oh, [], "bucket", resample.FlattenSpec(flags=flags, once=["v"])))
+
+
+CONFLICTS = HARMONISED + """,
+g AS (SELECT bucket, count(*) AS n_rows,
+        min(event_type) <> max(event_type) OR (count(event_type) > 0 AND count(event_type) < count(*)) AS c1,
+        min(user_id) <> max(user_id) OR (count(user_id) > 0 AND count(user_id) < count(*)) AS c2,
+        min(v) <> max(v) OR (count(v) > 0 AND count(v) < count(*)) AS c3 FROM h GROUP BY bucket),
+k AS (SELECT bucket, n_rows, concat_ws(';', CASE WHEN c1 THEN 'event_type' END, CASE WHEN c2 THEN 'user_id' END,
+                                       CASE WHEN c3 THEN 'v' END) AS columns FROM g)"""
+
+
+@register("bucket_conflicts", CONFLICTS + " SELECT bucket, n_rows, columns FROM k WHERE columns <> ''")
+def q_bucket_conflicts(spark, sf):
+    out = resample.bucket_conflicts(_harmonised(spark, sf), [], "bucket", ["event_type", "user_id", "v"])
+    return out.withColumn("columns", F.concat_ws(";", "columns"))
+
+
+@register("bucket_conflict_columns", CONFLICTS + """
+SELECT c AS "column", count(*) AS n_buckets, CAST(sum(CASE WHEN columns = c THEN 1 ELSE 0 END) AS BIGINT) AS n_alone
+FROM (SELECT columns, unnest(string_split(columns, ';')) AS c FROM k WHERE columns <> '') t GROUP BY 1""")
+def q_bucket_conflict_columns(spark, sf):
+    return resample.conflict_columns(
+        resample.bucket_conflicts(_harmonised(spark, sf), [], "bucket", ["event_type", "user_id", "v"]))
+
+
 @register("first_k_non_null", FIRSTK + " SELECT user_id, ts, event_id, v, rn FROM f WHERE rn <= 12")
 def q_first_k_non_null(spark, sf):
     ev, s = series(events(spark, sf).select("user_id", "ts", "event_id", "v"))
@@ -656,6 +717,24 @@ def q_lookahead_2h(spark, sf):
     return out.select("event_id", "sensor_end_2h")
 
 
+@register("label_is_censored", """
+WITH n AS (SELECT event_id, user_id, event_type, epoch_us(ts) AS us,
+       min(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY epoch_us(ts)
+            RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS na,
+       min(CASE WHEN event_type = 'error' THEN epoch_us(ts) END) OVER (PARTITION BY user_id ORDER BY epoch_us(ts)
+            RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nf FROM events),
+r AS (SELECT *, min(CASE WHEN na IS NULL OR na - us > 21600000000 THEN us END) OVER (PARTITION BY user_id ORDER BY us
+            RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS reach FROM n)
+SELECT event_id,
+       NOT (event_type = 'error' OR coalesce(nf <= us + 3600000000, false) OR coalesce(reach >= us + 3600000000, false)) AS sensor_end_1h_is_censored,
+       NOT (event_type = 'error' OR coalesce(nf <= us + 43200000000, false) OR coalesce(reach >= us + 43200000000, false)) AS sensor_end_12h_is_censored
+FROM r""")
+def q_label_is_censored(spark, sf):
+    ev, s = series(load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type"))
+    out = ts_ops.censoring(ev, s, F.col("event_type") == "error", {"sensor_end_1h": 3600, "sensor_end_12h": 43200}, 21600)
+    return out.select("event_id", "sensor_end_1h_is_censored", "sensor_end_12h_is_censored")
+
+
 @register("label_clean_ffill", f"""
 WITH a AS (SELECT event_id, user_id, ts, event_type,
        max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY epoch_us(ts)

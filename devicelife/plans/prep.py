@@ -85,6 +85,8 @@ class PrepConfig:
     lag_steps: tuple[int, ...] = (3, 6, 12)
     rows_per_chunk: int | None = None
     drop_seed_by_flag: bool = False
+    sum_once: bool = False         # count each distinct source row once in the sums of a bucket
+    censor_gap: int | None = None  # seconds; adds <label>_is_censored, see timeseries.censoring
     materialize: bool = True       # checkpoint between chunked stages
 
 
@@ -147,13 +149,16 @@ def clean(df: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, list[str]]:
     """Outlier clip, buckets, harmonise, one-hot, flatten (returns the flag names)."""
     keys = list(cfg.keys)
     df = quality.sigma_clip(df, cfg.ts, cfg.clip_k, keys)
+    once = [c for c in cfg.sums if c in df.columns] if cfg.sum_once else []
+    if once:
+        df = df.distinct()
     df = resample.add_bucket(df, cfg.ts, cfg.bucket_seconds)
-    df = resample.harmonise(df, keys, cfg.ts)
+    df = resample.harmonise(df, keys, cfg.ts, once=once)
     cats = [c for c in cfg.categories if c in df.columns]
     df, flags = resample.one_hot(df, cats, cfg.category_values)
-    sums = [c for c in cfg.sums if c in df.columns]
+    sums = [c for c in cfg.sums if c in df.columns and c not in once]
     means = [c for c in cfg.means if c in df.columns]
-    df = resample.flatten_buckets(df, keys, cfg.ts, resample.FlattenSpec(flags=flags, sums=sums, means=means))
+    df = resample.flatten_buckets(df, keys, cfg.ts, resample.FlattenSpec(flags=flags, sums=sums, means=means, once=once))
     return df, flags
 
 
@@ -193,6 +198,8 @@ def engineer(flat: DataFrame, cfg: PrepConfig, flags: list[str]) -> DataFrame:
     ends = [c for c in cfg.end_flags if c in feats.columns]
     end = vf.any_flag(ends) if ends else F.lit(False)
     feats = feats.withColumn("_end", F.coalesce(end, F.lit(False)))
+    if cfg.censor_gap is not None:
+        feats = cut(ts_ops.censoring(feats, s, F.col("_end"), cfg.horizons, cfg.censor_gap))
     feats = ts_ops.lookahead(feats, s, F.col("_end"), cfg.horizons)
     feats = ts_ops.finish_labels(feats, s, list(cfg.horizons), F.col("_end"))
     return feats.drop("_end", "_tb", *s.helper_cols())

@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
 
 CHUNKED = ["section_split", "first_k_non_null", "backcast_seed", "union_seed", "interpolate_linear",
            "forward_fill", "lag_columns", "lag_deltas", "diff_cumsum", "session_id", "impute_first_start",
-           "session_age", "lookahead_1h", "lookahead_2h", "label_clean_ffill", "device_labels", "ordered_split",
+           "session_age", "label_is_censored", "lookahead_1h", "lookahead_2h", "label_clean_ffill", "device_labels", "ordered_split",
            "walk_forward_folds", "roc_auc_score"]
 
 
