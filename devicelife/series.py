@@ -15,6 +15,7 @@ task ever holds a whole series.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from pyspark.sql.types import BinaryType, BooleanType, DateType, StringType, Tim
 from devicelife.session import cut_lineage
 
 CHUNK_COL = "_chunk"
-_CUT_COLS = ("_axis", "_low", "_width")
+_CUT_COLS = ("_axis", "_skip", "_low", "_width")
 #: A chunk has at most this many times the wanted rows.
 CHUNK_SLACK = 4
 #: Up to so many heavy pieces (counted first; some 60 bytes each) are broadcast to the rows.
@@ -128,7 +129,7 @@ def with_chunks(df: DataFrame, s: Series, rows_per_chunk: int | None = None) ->
         sur += [f"_sk{i}", f"_sn{i}"]
     out = out.withColumn(CHUNK_COL, F.array(F.lit(0).cast("long")))
     part = [*sur, CHUNK_COL]
-    images = [_image(df, c) for c in s.order_cols()]
+    images = [partial(_image, df, c) for c in s.order_cols()]
     heavy = _heavy_pieces(out, s, part, images, rows_per_chunk)
     first = True
     while not heavy.isEmpty():
@@ -140,7 +141,7 @@ def with_chunks(df: DataFrame, s: Series, rows_per_chunk: int | None = None) ->
             cut = out.join(F.broadcast(heavy) if small else heavy, part, "left")
         axis = F.lit(None).cast("double")
         for i, image in reversed(list(enumerate(images))):
-            axis = F.when(F.col("_axis") == i, image).otherwise(axis)
+            axis = F.when(F.col("_axis") == i, image(F.col("_skip"))).otherwise(axis)
         # nulls sort first: slice -1
         piece = F.coalesce(F.floor((axis - F.col("_low")) / F.col("_width")).cast("long"), F.lit(-1).cast("long"))
         path = F.concat(F.col(CHUNK_COL), F.array(F.when(F.col("_axis").isNull(), F.lit(0).cast("long")).otherwise(piece)))
@@ -150,11 +151,13 @@ def with_chunks(df: DataFrame, s: Series, rows_per_chunk: int | None = None) ->
     return out, replace(s, chunk=CHUNK_COL, surrogates=tuple(sur))
 
 
-def _image(df: DataFrame, col: str) -> Column:
-    """A finite number that never decreases in the order of ``col`` (null for null)."""
+def _image(df: DataFrame, col: str, skip: Column, of: Column | None = None) -> Column:
+    """A finite number that never decreases in the order of ``col`` (null for null); of texts that
+    share their first ``skip`` bytes, the six bytes that follow. ``of`` is read instead of the column."""
     t = df.schema[col].dataType
-    if isinstance(t, (StringType, BinaryType)):     # the first six bytes
-        head = F.rpad(F.substring(F.hex(F.col(col).cast("binary")), 1, 12), 12, "0")
+    if _is_text(df, col):
+        rest = F.hex(F.col(col).cast("binary") if of is None else of)
+        head = F.rpad(F.substr(rest, skip * 2 + 1, F.lit(12)), 12, "0")
         return F.conv(head, 16, 10).cast("double")
     if isinstance(t, BooleanType):
         return F.col(col).cast("int").cast("double")
@@ -162,27 +165,46 @@ def _image(df: DataFrame, col: str) -> Column:
     return F.when(o.isNotNull(), F.greatest(F.least(o, F.lit(1e300)), F.lit(-1e300)))
 
 
-def _heavy_pieces(rows: DataFrame, s: Series, part: list[str], images: list[Column], rows_per_chunk: int) -> DataFrame:
+def _is_text(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, (StringType, BinaryType))
+
+
+def _shared_bytes(a: str, z: str) -> Column:
+    """How many first bytes two binary columns share."""
+    at = f"hex(substring({a}, k, 1)) <> hex(substring({z}, k, 1))"
+    both = f"least(length({a}), length({z}))"
+    first = f"array_min(filter(if({both} > 0, sequence(1, {both}), cast(array() as array<int>)), k -> {at}))"
+    return F.expr(f"coalesce({first} - 1, {both}, 0)")
+
+
+def _heavy_pieces(rows: DataFrame, s: Series, part: list[str], images: list, rows_per_chunk: int) -> DataFrame:
     """The pieces (``part``) with too many rows that can be cut: the order column to cut by, where the
     cuts start and how wide a slice is. A row per heavy piece, checkpointed."""
     cols = s.order_cols()
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, (c, image) in enumerate(zip(cols, images)):
-        aggs += [F.count(c).alias(f"_n{i}"), F.min(image).alias(f"_a{i}"), F.max(image).alias(f"_z{i}"),
+        v = F.col(c).cast("binary") if _is_text(rows, c) else image(F.lit(0))
+        aggs += [F.count(c).alias(f"_n{i}"), F.min(v).alias(f"_a{i}"), F.max(v).alias(f"_z{i}"),
                  F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(f"_e{i}")]
     stats = rows.groupBy(*part).agg(*aggs).where(F.col("_n") > CHUNK_SLACK * rows_per_chunk)
+    # texts become numbers once it is known where they begin to differ in the piece
+    for i, (c, image) in enumerate(zip(cols, images)):
+        stats = stats.withColumn(f"_s{i}", _shared_bytes(f"_a{i}", f"_z{i}") if _is_text(rows, c) else F.lit(0))
+        if _is_text(rows, c):
+            stats = stats.withColumns({f"_{x}{i}": image(F.col(f"_s{i}"), F.col(f"_{x}{i}")) for x in "az"})
     # the first order column that differs inside the piece; a later one would not follow the order
-    axis = low = high = F.lit(None)
+    axis = skip = low = high = F.lit(None)
     for i in reversed(range(len(cols))):
         same = F.col(f"_e{i}") & ((F.col(f"_n{i}") == 0) | (F.col(f"_n{i}") == F.col("_n")))
         axis = F.when(same, axis).otherwise(F.lit(i))
+        skip = F.when(same, skip).otherwise(F.col(f"_s{i}"))
         low = F.when(same, low).otherwise(F.col(f"_a{i}"))
         high = F.when(same, high).otherwise(F.struct(F.col(f"_z{i}").alias("z"), (F.col(f"_n{i}") < F.col("_n")).alias("nulls")))
-    found = stats.select(*part, "_n", axis.cast("int").alias("_axis"), low.cast("double").alias("_low"), high.alias("_high"))
+    found = stats.select(*part, "_n", axis.cast("int").alias("_axis"), skip.cast("int").alias("_skip"), low.cast("double").alias("_low"), high.alias("_high"))
     found = found.where(F.col("_axis").isNotNull() & ((F.col("_low") < F.col("_high.z")) | F.col("_high.nulls")))
     width = F.greatest((F.col("_high.z") - F.col("_low")) * (F.lit(float(rows_per_chunk)) / F.col("_n")), F.lit(1e-300))
     width = F.when(F.col("_low") < F.col("_high.z"), width).otherwise(F.lit(1.0))
-    return cut_lineage(found.select(*part, "_axis", "_low", width.alias("_width")))
+    return cut_lineage(found.select(*part, "_axis", "_skip", "_low", width.alias("_width")))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "left") -> DataFrame:

@@ -155,17 +155,35 @@ def union_tables(tables: list[DataFrame], dedup: bool = False) -> DataFrame:
 def header_names(rows: DataFrame) -> dict[int, list[tuple[int, str]]]:
     """Column names of each section, taken from the first file that has it.
 
-    One small collect (one row per file and section). Raises when two files
-    name the same section's columns differently.
+    One small collect, a row per section however many files there are. Raises
+    when two files name the same section's columns differently, naming both.
     """
-    hdr = rows.where(F.col("_is_header")).select("_file", "section_id", *CELLS).collect()
-    by_section: dict[int, list] = {}
-    for r in sorted(hdr, key=lambda r: (r["section_id"], r["_file"])):
-        names = [(i, r[c]) for i, c in enumerate(CELLS) if r[c] is not None]
-        prev = by_section.setdefault(r["section_id"], names)
-        if prev != names:
-            raise ValueError(f"section {r['section_id']}: column names differ between files")
-    return by_section
+    agreed = header_agreement(rows).collect()
+    for r in agreed:
+        if r["other_file"] is not None:
+            raise ValueError(f"section {r['section_id']}: column names differ between files {r['file']} and {r['other_file']}")
+    return {r["section_id"]: [(i, n) for i, n in enumerate(r["names"]) if n is not None]
+            for r in sorted(agreed, key=lambda r: r["section_id"])}
+
+
+def header_agreement(rows: DataFrame) -> DataFrame:
+    """Per section the names of the first file that has it and, where some file names the columns
+    differently, one such file: ``(section_id, names, file, n_files, other_file)``.
+
+    Minima combine before the shuffle: the least and the greatest image of a header are equal
+    exactly when all headers of the section are.
+    """
+    names = F.array(*[F.col(c) for c in CELLS])
+    image = F.to_json(F.struct(names.alias("n")), {"ignoreNullFields": "false"})
+    hdr = rows.where(F.col("_is_header")).select("section_id", "_file", names.alias("names"), image.alias("_image"))
+    per = hdr.groupBy("section_id").agg(
+        F.min(F.struct("_file", "names", "_image")).alias("_first"), F.count_distinct("_file").alias("n_files"),
+        F.min(F.struct("_image", "_file")).alias("_low"), F.max(F.struct("_image", "_file")).alias("_high"))
+    first = F.col("_first._image")
+    other = (F.when(F.col("_low._image") != first, F.col("_low._file"))
+             .when(F.col("_high._image") != first, F.col("_high._file")))
+    return per.select("section_id", F.col("_first.names").alias("names"), F.col("_first._file").alias("file"),
+                      "n_files", other.alias("other_file"))
 
 
 def section_table(rows: DataFrame, section: int, names: list[tuple[int, str]], dedup: bool = True,
