@@ -49,6 +49,7 @@ from .graph import components
 COUNTED = 32         # projections whose collisions are counted
 DEALINGS = 4
 LEVELS = 24          # cuts on the way to a part, at most
+STRIP = 128          # rows compared with a block at a time; bounds a task's memory
 
 
 def needed_collisions(projections: int, window: float, recall: float) -> int:
@@ -154,8 +155,9 @@ def count_collisions(a: np.ndarray, b: np.ndarray, window: float, needed: int, u
     return i[ok], j[ok]
 
 
-def _met_before(part: int, lists_a: list, lists_b: list) -> np.ndarray:
-    """Whether rows of a and b also share a part of smaller number than ``part`` (matrix)."""
+def _earlier_parts(part: int, lists_a: list, lists_b: list) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of a and of b which parts of smaller number than ``part`` they are in, of those that
+    rows of both are in: a pair met before if the product of its two rows is not 0."""
     earlier = sorted({int(p) for parts in lists_a for p in parts if p < part} & {int(p) for parts in lists_b for p in parts if p < part})
     number = {p: k for k, p in enumerate(earlier)}
 
@@ -168,7 +170,7 @@ def _met_before(part: int, lists_a: list, lists_b: list) -> np.ndarray:
                     out[r, k] = 1
         return out
 
-    return member(lists_a) @ member(lists_b).T > 0.5
+    return member(lists_a), member(lists_b)
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -208,22 +210,27 @@ def _links(dealt: DataFrame, classes: DataFrame, similarity: float, part_rows: i
         x = unit_rows(g["_v"].tolist())
         p = (x @ directions(x.shape[1], COUNTED, seed + 1)).astype(np.float32)
         # the slack covers float32 rounding
-        i, j = count_collisions(p[a], p[b], 2.0 * sigma + 1e-4, needed, one == two)
-        if not len(i):
-            return none
-        keep = np.concatenate([np.einsum("ij,ij->i", x[a[i[s:s + 65536]]], x[b[j[s:s + 65536]]]) for s in range(0, len(i), 65536)]) >= similarity
-        i, j = i[keep], j[keep]
         lists = g["_parts"].tolist()
-        seen = _met_before(part, [lists[r] for r in a], [lists[r] for r in b])
-        fresh = ~seen[i, j]
-        i, j = a[i[fresh]], b[j[fresh]]
-        if not len(i):
-            return none
-        n = g["_rows"].to_numpy()
-        count = np.zeros(len(g), dtype=np.int64)
-        np.add.at(count, i, n[j])
-        np.add.at(count, j, n[i])
-        low, name = _forest(len(g), i, j), g["_class"].to_numpy()
+        earlier_a, earlier_b = _earlier_parts(part, [lists[r] for r in a], [lists[r] for r in b])
+        n, name = g["_rows"].to_numpy(), g["_class"].to_numpy()
+        count, low = np.zeros(len(g), dtype=np.int64), np.arange(len(g))
+        # strips of rows against the block: near copies of one vector make every pair a candidate
+        for s in range(0, len(a), STRIP):
+            top = a[s:s + STRIP]
+            after = np.flatnonzero(b > top[0]) if one == two else np.arange(len(b))
+            i, j = count_collisions(p[top], p[b[after]], 2.0 * sigma + 1e-4, needed, False)
+            j = after[j]
+            if one == two:
+                i, j = i[top[i] < b[j]], j[top[i] < b[j]]
+            if not len(i):
+                continue
+            keep = np.concatenate([np.einsum("ij,ij->i", x[top[i[k:k + 16384]]], x[b[j[k:k + 16384]]]) for k in range(0, len(i), 16384)]) >= similarity
+            i, j = i[keep], j[keep]
+            fresh = ~(earlier_a[s:s + STRIP] @ earlier_b.T > 0.5)[i, j]
+            i, j = top[i[fresh]], b[j[fresh]]
+            np.add.at(count, i, n[j])
+            np.add.at(count, j, n[i])
+            low = _forest(len(g), low[i], low[j])[low]
         at = np.flatnonzero(count)
         return pd.DataFrame({"_class": name[at], "_links": count[at], "_to": name[low[at]]})
 
