@@ -221,20 +221,25 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     return Model(langs, code, ratio, scale, shift, weight / weight.sum(axis=1, keepdims=True), ambiguous_gap)
 
 
+DECODED_ROWS = 1024      # texts held as Python strings at a time
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
              names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
     """The ``keep`` columns with the predicted language, its score and whether it is ambiguous
     (``names`` of the three new columns)."""
     bits = int(np.log2(len(model.ratio)))
     held = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.select(*keep, F.col(text_col).alias("__text"))
+    # a kept text travels once
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    src = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias("__text")]))
     schema = StructType([*[src.schema[k] for k in keep], StructField(names[0], StringType()),
                          StructField(names[1], DoubleType()), StructField(names[2], BooleanType())])
 
     def run(batches):
         m = held.value
-        for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+        for batch in (b.slice(lo, DECODED_ROWS) for b in batches for lo in range(0, b.num_rows, DECODED_ROWS)):
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             lettered = np.array([any(map(str.isalpha, t)) for t in texts], dtype=bool) if m.languages else np.zeros(len(texts), dtype=bool)
             lang, score, near = [UND] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
             if lettered.any():
@@ -242,6 +247,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[
                 lang = [m.languages[b] if ok else UND for b, ok in zip(best.tolist(), lettered.tolist())]
                 score, near = np.where(lettered, p, 0.0), close & lettered
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score), pa.array(near)], names=schema.fieldNames())
+                [*batch.columns[:len(keep)], pa.array(lang, pa.string()), pa.array(score), pa.array(near)], names=schema.fieldNames())
 
     return src.mapInArrow(run, schema)
