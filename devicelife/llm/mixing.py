@@ -3,9 +3,11 @@
 The wanted number of tokens is cut into equal blocks. Blocks are seats: each
 goes to the source with the highest quotient ``target / (2 * seats + 1)``,
 and a source's blocks go to its shards (hash pieces of a source, so that a
-hot source is many tasks) in the same way by shard size. Quotas are whole
-blocks per shard; a source's last block is cut so that rounding does not
-move it from its target.
+hot source is many tasks) in the same way by shard size, in two deals: to
+about as many groups of shards as a group has shards, then inside each group,
+so that no task ranks all shards of a source. Quotas are whole blocks per
+shard; a source's last block is cut so that rounding does not move it from
+its target.
 
 A shard's documents, in a seeded order, form one stream of words cut into
 blocks. A quota of more than the stream takes whole passes first; the rest
@@ -20,7 +22,7 @@ seats a source, and only those are ranked.
 
 Edge cases: null text has size 0 and takes 0; a null source is a source of
 its own, ordered last; an empty table gives an empty mix; repeated rows are
-separate documents; sources without words have target 0; extra columns are
+separate documents, numbered so that they spread over the shards; sources without words have target 0; extra columns are
 ignored.
 """
 
@@ -92,6 +94,17 @@ def sainte_lague(df: DataFrame, share: str, seats: str, order: list[str], within
             .drop("_t", "_n", "_sure", "_most", "_left", "_won", *[c for c in w.columns if c.startswith("_w_")]))
 
 
+def _numbered(rows: DataFrame, chunk: int = 1 << 16) -> DataFrame:
+    """One row for each of a row's ``_copies``, numbered by ``_copy`` from 0. Rows of more than ``chunk``
+    copies are dealt to many tasks first, ``chunk`` copies at a time."""
+    chunks = F.floor((F.col("_copies") - 1) / chunk)
+    first = rows.withColumn("_chunk", F.lit(0).cast("long"))
+    many = rows.filter(chunks > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(1).cast("long"), chunks)))
+    each = first.unionByName(many.repartition("_key", "_chunk"))
+    last = F.least(F.col("_copies") - 1, (F.col("_chunk") + 1) * chunk - 1)
+    return each.withColumn("_copy", F.explode(F.sequence(F.col("_chunk") * chunk, last))).drop("_chunk")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: int = 2, block: int = 32,
         shard_words: int = 1 << 18, seed: int = 17) -> DataFrame:
@@ -103,11 +116,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     and a document are used; ``block`` tokens is the apportioned unit;
     ``shard_words`` the aimed size of a shard.
     """
-    base = cut(docs.select(
+    base = docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(text_col).alias("_size"),
-        F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)).alias("_key")))
+        F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)).alias("_key"))
+    # rows that repeat id and text are counted first and numbered later
+    base = cut(base.groupBy("_id", "_source", "_size", "_key").agg(F.count("*").alias("_copies")))
 
-    sources = base.groupBy("_source").agg(F.sum("_size").alias("size"))
+    sources = base.groupBy("_source").agg(F.sum(F.col("_size") * F.col("_copies")).alias("size"))
     by_code = Window.orderBy(F.col("_source").cast("binary").asc_nulls_last())
     sources = sources.withColumn("position", F.row_number().over(by_code) - 1)
     listed = F.array(*[F.lit(float(w)) for w in weights])
@@ -122,18 +137,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                           "quota", "_words", "_shards"))
 
     rows = base.join(sources, F.col("_source").eqNullSafe(F.col("_of"))).select(
-        "_id", "_size", "_key", "position", "source_size", "target",
-        F.pmod("_key", "_shards").alias("_shard"))
+        "_id", "_size", "_key", "_copies", "position", "source_size", "target", "_shards")
+    rows = _numbered(rows)
+    place = F.when(F.col("_copy") == 0, F.col("_key")).otherwise(F.xxhash64("_key", "_copy"))
+    rows = rows.withColumn("_place", place).withColumn("_shard", F.pmod("_place", "_shards")).drop("_copies", "_copy", "_shards")
     rows = cut(rows)
 
     shards = rows.groupBy("position", "_shard").agg(F.sum("_size").alias("_stream"))
-    shards = shards.join(sources.select("position", F.col("quota").alias("_seats"), "_words"), "position")
-    shards = sainte_lague(shards, "_stream", "_seats", ["_shard"], ("position",))
+    shards = shards.join(sources.select("position", F.col("quota").alias("_seats"), "_words", "_shards",
+                                        (F.col("_words") >= F.lit(cap) * F.col("source_size")).alias("_full")), "position")
+    shards = shards.withColumn("_group", F.col("_shard") % F.ceil(F.sqrt("_shards"))).drop("_shards")
     # the closing block: the source's largest shard absorbs what rounding to blocks moved
-    largest = Window.partitionBy("position").orderBy(F.col("_stream").desc(), "_shard")
-    shards = shards.withColumn("_close", F.when(F.row_number().over(largest) == 1, F.col("_words") - F.col("_seats") * block)
-                               .otherwise(0))
-    wanted = F.least(F.lit(cap) * F.col("_stream"), F.greatest(F.lit(0), F.col("quota") * block + F.col("_close")))
+    largest = shards.groupBy("position").agg(F.max(F.struct("_stream", (-F.col("_shard")).alias("_minus"))).alias("_largest"))
+    shards = cut(shards.join(largest, "position").withColumn(
+        "_close", F.when(F.col("_shard") == -F.col("_largest._minus"), F.col("_words") - F.col("_seats") * block).otherwise(0)).drop("_largest"))
+    groups = shards.groupBy("position", "_group", "_seats").agg(F.sum("_stream").alias("_mass"))
+    groups = sainte_lague(groups, "_mass", "_seats", ["_group"], ("position",)).select("position", "_group", F.col("quota").alias("_dealt"))
+    shards = sainte_lague(shards.join(groups, ["position", "_group"]), "_stream", "_dealt", ["_shard"], ("position", "_group"))
+    # a source at its cap takes all it has as often as it may, whatever the blocks
+    top = F.lit(cap) * F.col("_stream")
+    wanted = F.when(F.col("_full"), top).otherwise(F.least(top, F.greatest(F.lit(0), F.col("quota") * block + F.col("_close"))))
     shards = shards.filter("_stream > 0").withColumn("_want", wanted)
     shards = cut(shards.select("position", "_shard", "_stream", F.floor(F.col("_want") / F.col("_stream")).alias("_passes"),
                                (F.col("_want") % F.col("_stream")).alias("_rest")))
@@ -147,7 +170,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     blocks = blocks.withColumn("_take", F.least("_tokens", F.col("_rest") - F.coalesce("_before", F.lit(0)))).filter("_take > 0")
     blocks = blocks.select("position", "_shard", "_block", "_take")
 
-    order = Window.partitionBy("position", "_shard").orderBy("_key", "_id", "_size")
+    order = Window.partitionBy("position", "_shard").orderBy("_place", "_id", "_size")
     placed = rows.withColumn("_stop", F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     placed = placed.withColumn("_start", F.col("_stop") - F.col("_size"))
     pieces = placed.filter("_size > 0").select(

@@ -129,6 +129,32 @@ def test_mix(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_copies_spread_over_shards(spark):
+    rows = [(1, "w " * 10, "hot", "x")] * 3000 + [(None, None, "hot", "x")] * 500 + [(2, "w " * 50, "a", "x")] * 200
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), shard_words=1000, block=16).collect()
+    assert len(got) == len(rows) and all(g.taken <= 2 * g["size"] for g in got)
+    for source, of in ((30000, "hot"), (10000, "a")):
+        mine = [g for g in got if g.source_size == source]
+        assert abs(sum(g.taken for g in mine) - mine[0].target) <= 16, of
+    copies = spark.createDataFrame([(1, 10), (2, 1), (3, 7)], "_key long, _copies long")
+    numbered = sorted((r["_key"], r["_copy"]) for r in mixing._numbered(copies, chunk=3).collect())
+    assert numbered == [(k, c) for k, n in ((1, 10), (2, 1), (3, 7)) for c in range(n)]
+
+
+def test_words_taken_of_a_document(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    df = spark.createDataFrame([(i, text, s, "x") for i, s in enumerate(["a", "a", "b", "b", "b", "c"])], SCHEMA)
+    taken = {r.doc_id: r for r in mixing.mix(df, block=16).collect()}
+    out = mixing.mixed_documents(df, block=16).collect()
+    for i, r in taken.items():
+        mine = [o.text for o in out if o.doc_id == i]
+        assert sum(len(t.split()) for t in mine) == r.taken
+        for t in mine:
+            if t != text:
+                want = [w for at, n in r.ranges for w in text.split()[at:at + n]]
+                assert t.split() == want and len(t.split("\n")) == len(r.ranges)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     empty = spark.createDataFrame([(1, "", "s", "x"), (2, None, None, "x")], SCHEMA)
