@@ -212,8 +212,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = F.when(F.col("__plan.ranges").isNotNull(), F.array("__plan.ranges")).otherwise(F.slice(copies, 1, 0))
     joined = joined.withColumn("__part", F.explode(F.concat(copies, rest)))
     words = F.regexp_extract_all(F.col(text_col), F.lit(SPACE_CLASS + "*" + WORD), F.lit(0))
-    some = F.array_join(F.transform("__part", lambda r: F.ltrim(F.array_join(
-        F.slice(words, (r.at + 1).cast("int"), r.words.cast("int")), ""))), "\n")
+    # bound as the one element of a list, the words are cut once a row and not once a range
+    some = F.transform(F.array(words), lambda w: F.array_join(F.transform("__part", lambda r: F.ltrim(F.array_join(
+        F.slice(w, (r.at + 1).cast("int"), r.words.cast("int")), ""))), "\n"))[0]
     out = joined.withColumn(text_col, F.when(F.col("__part").isNull(), F.col(text_col)).otherwise(some))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__part").isNull(), F.col("n_chars"))
