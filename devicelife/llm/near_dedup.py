@@ -174,7 +174,8 @@ def _sets(docs: DataFrame, text_col: str, wanted: DataFrame, size: int) -> DataF
     ids = wanted.select(F.col("_rep").alias("_want")).distinct()
     rows = docs.join(ids, F.col("_id").eqNullSafe(F.col("_want")), "left_semi").mapInArrow(label, digests)
     rows = rows.join(wanted.select("_class", F.col("_rep").alias("_want")), "_class").filter("_id <=> _want")
-    return cut(rows.select("_class", "_text").mapInArrow(run, schema).dropDuplicates(["_class"]))
+    # rows that repeat the id go while the rows still lie by class: the sets themselves are not shuffled
+    return cut(rows.select("_class", "_text").dropDuplicates(["_class"]).mapInArrow(run, schema))
 
 
 def _weights(names: np.ndarray, raw: bytes) -> np.ndarray:
