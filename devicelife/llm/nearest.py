@@ -7,22 +7,26 @@ kd-tree over the projections (its splits fitted on a bounded sample) deals
 *all* vectors into cells; a cell's box bounds the projected distance to
 anything inside it.
 
-A query takes its projected neighbours in growing order: first its own
-cell, which gives a k-th distance d; then all further cells and vectors
-whose projected distance r has ``chi2(r^2 / d^2) < stop``. Beyond that the
-test holds: a vector nearer than d would show such a projected distance with
-probability below ``1 - stop``. Every vector taken is verified by its
-Euclidean distance in double precision.
-
-Plan: queries are compared with cell boxes (at most ``max_cells`` of them,
-broadcast), then meet the vectors of the chosen cells in blocks of at most
-about ``block_rows`` vectors by ``block_queries`` queries; only the k best
-of a block leave it.
+A query takes its projected neighbours in growing order, cell by cell: its
+own cell, then the next nearest one, then two, four and so on, always in the
+order of the projected distance to the cell's box. What a round finds
+tightens the query's k-th distance d for the next. A query stops when the
+next cell lies at a projected distance r with ``chi2(r^2 / d^2) >= stop``: a
+vector nearer than d would show such a projected distance with probability
+below ``1 - stop``. Inside a cell vectors come in the order of their own
+projected distance under the same test. Every vector taken is verified by its
+Euclidean distance in double precision. Distances of the test have a slack
+for rounding, so exact copies (d = 0) meet.
+
+Plan: one round is one join of the queries still going with the vectors of
+their next cells (boxes of at most ``max_cells`` cells are broadcast), in
+blocks of about ``block_rows`` vectors by ``block_queries`` queries; only the
+k best of a block leave it. The rounds are the logarithm of the cells.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do rows without an id and vectors of another
 length than most; equal distances go to the smaller id; a query's own id is
-never a candidate; fewer candidates than k give fewer rows; repeated rows
+never a candidate; of a query id's several vectors the first in order asks; fewer candidates than k give fewer rows; repeated rows
 count as separate candidates of one id; extra columns are ignored.
 """
 
@@ -155,36 +159,42 @@ def neighbours(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "
                                        *[F.max(F.col("proj")[i]).alias(f"hi{i}") for i in range(dims)]).toPandas().sort_values("cell")  # max_cells rows
     lo, hi = (boxes[[f"{side}{i}" for i in range(dims)]].to_numpy() for side in ("lo", "hi"))
     number, held = boxes.cell.to_numpy(), boxes.n.to_numpy()
-    radius = chi_square_quantile(stop, dims)
-    asked = cut(points.join(query_ids.distinct(), "id", "left_semi"))
-
-    # 1. the query's own cell and as many nearest cells as it takes to hold k others
-    pair = StructType([StructField("id", LongType()), StructField("vec", ArrayType(DoubleType())), StructField("proj", ArrayType(DoubleType())),
-                       StructField("limit", DoubleType()), StructField("cell", IntegerType())])
-
-    def gaps(proj: np.ndarray) -> np.ndarray:
-        out = np.maximum(np.maximum(lo - proj[:, None], proj[:, None] - hi), 0)
-        return (out ** 2).sum(axis=2)
+    radius = float(np.sqrt(chi_square_quantile(stop, dims)))
+    # vectors without a distance limit yet take all they meet
+    asked = (points.join(query_ids.distinct(), "id", "left_semi").groupBy("id").agg(F.min(F.struct("vec", "proj")).alias("own"))
+             .select("id", "own.vec", "own.proj", F.lit(float("inf")).alias("limit")))
+    asked = cut(asked)
+    going = StructType([*schema.fields, StructField("limit", DoubleType())])
+    pair = StructType([*going.fields, StructField("cell", IntegerType())])
+
+    def reach(proj: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Largest projected distance at which the test does not hold, with a slack for rounding."""
+        return radius * limit * (1 + 1e-9) + 1e-9 * np.sqrt((proj ** 2).sum(axis=-1))
+
+    def ordered(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of each query in growing projected distance, and whether they are within its reach."""
+        proj = matrix(part.column(2))
+        far = np.sqrt((np.maximum(np.maximum(lo - proj[:, None], proj[:, None] - hi), 0) ** 2).sum(axis=2))
+        order = np.argsort(far, axis=1, kind="stable")
+        limit = part.column(3).to_numpy(zero_copy_only=False)
+        return order, np.take_along_axis(far, order, axis=1) <= reach(proj, limit)[:, None]
+
+    def parts(batches):
+        return (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256))
+
+    def still(first: int):
+        def run(batches):
+            for part in parts(batches):
+                yield part.filter(pa.array(ordered(part)[1][:, first]))
+        return run
 
-    def chosen(nearest: bool):
+    def chosen(first: int, last: int):
         def run(batches):
-            for b in batches:
-                for at in range(0, b.num_rows, 256):
-                    part = b.slice(at, 256)
-                    far = gaps(matrix(part.column(2)))
-                    if nearest:
-                        order = np.argsort(far, axis=1, kind="stable")
-                        before = np.cumsum(held[order], axis=1) - held[order]
-                        take = np.zeros_like(far, dtype=bool)
-                        np.put_along_axis(take, order, before < k + 1, axis=1)
-                        limit = np.full(part.num_rows, np.inf)
-                    else:
-                        limit = part.column(3).to_numpy(zero_copy_only=False)
-                        take = far <= radius * limit[:, None] ** 2
-                    q, c = np.nonzero(take)
-                    q = pa.array(q)
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(q), part.column(1).take(q), part.column(2).take(q),
-                                                      pa.array(limit[q.to_numpy()]), pa.array(number[c], pa.int32())], names=pair.fieldNames())
+            for part in parts(batches):
+                order, near = ordered(part)
+                q, at = np.nonzero(near[:, first:last])
+                yield pa.RecordBatch.from_arrays([*part.take(pa.array(q)).columns, pa.array(number[order[q, first + at]], pa.int32())],
+                                                 names=pair.fieldNames())
         return run
 
     found = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
@@ -195,30 +205,47 @@ def neighbours(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "
         ids, vec, proj = vectors.id.to_numpy(), np.stack(vectors.vec.to_numpy()), np.stack(vectors.proj.to_numpy())
         out = []
         for q in queries.itertuples():
-            near = ((proj - q.proj) ** 2).sum(axis=1)
-            take = np.flatnonzero((ids != q.id) & (near <= radius * q.limit ** 2))
-            score = np.sqrt(((vec[take] - q.vec) ** 2).sum(axis=1))
-            best = np.lexsort((ids[take], score))[:k]
-            out.append(pd.DataFrame({"query_id": np.full(len(best), q.id), "vec_id": ids[take][best], "score": score[best]}))
+            near = np.sqrt(((proj - q.proj) ** 2).sum(axis=1))
+            order = np.argsort(near, kind="stable")
+            order = order[ids[order] != q.id]
+            own, limit, at, step = np.zeros(0), q.limit, 0, 4 * k
+            while at < len(order):
+                # as many more as the test allows at the distance known now
+                end = min(at + step, int(np.searchsorted(near[order], reach(q.proj, limit), side="right")))
+                if end <= at:
+                    break
+                own = np.concatenate([own, np.sqrt(((vec[order[at:end]] - q.vec) ** 2).sum(axis=1))])
+                if len(own) >= k:
+                    limit = min(limit, float(np.partition(own, k - 1)[k - 1]))
+                at, step = end, 2 * step
+            took = ids[order[:len(own)]]
+            best = np.lexsort((took, own))[:k]
+            out.append(pd.DataFrame({"query_id": np.full(len(best), q.id), "vec_id": took[best], "score": own[best]}))
         return pd.concat(out)
 
+    size = cut(points.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("vn")))
+
     def search(pairs: DataFrame) -> DataFrame:
         # blocks: a cell's vectors by hash, its queries by hash
-        load = pairs.groupBy("cell").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("qn"))
-        size = points.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("vn"))
-        shape = load.join(size, "cell")
+        shape = pairs.groupBy("cell").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("qn")).join(size, "cell")
         left = (pairs.join(shape, "cell").withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), "qn").cast("int"))
-                .withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("vn") - 1))).select("cell", "qb", "vb", "id", "vec", "proj", "limit"))
+                .withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("vn") - 1))).select("cell", "qb", "vb", *going.fieldNames()))
         right = (points.join(shape, "cell").withColumn("vb", F.pmod(F.xxhash64("id", F.lit(2)), "vn").cast("int"))
                  .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qn") - 1))).select("cell", "qb", "vb", "id", "vec", "proj"))
         key = ["cell", "qb", "vb"]
         return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(verify, found)
 
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = lambda d: d.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    first = cut(ranked(search(asked.select("id", "vec", "proj").mapInArrow(chosen(True), pair))))
-    limit = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.max("score")).otherwise(float("inf")).alias("limit"))
-    bounded = asked.join(limit, asked.id == limit.query_id, "left").select("id", "vec", "proj", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
-    # 2. every cell and vector for which the test does not hold at that distance
-    full = ranked(search(bounded.mapInArrow(chosen(False), pair)))
-    return full.select("query_id", "rank", "vec_id", "score")
+    by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = spark.createDataFrame([], found)
+    first, last = 0, 1
+    while first < len(number):
+        asked = cut(asked.mapInArrow(still(first), going))
+        if asked.isEmpty():
+            break
+        hits = best.unionByName(search(asked.mapInArrow(chosen(first, last), pair)))
+        best = cut(hits.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select(*found.fieldNames()))
+        limit = best.groupBy("query_id").agg(F.when(F.count("*") >= k, F.max("score")).otherwise(float("inf")).alias("limit"))
+        asked = asked.drop("limit").join(limit, asked.id == limit.query_id, "left").select(
+            "id", "vec", "proj", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
+        first, last = last, 2 * last
+    return best.withColumn("rank", F.row_number().over(by_score)).select("query_id", "rank", "vec_id", "score")

@@ -141,11 +141,21 @@ def test_nearest(spark):
         assert list(own["rank"]) == list(range(1, 11)) and np.allclose(own.score, d[own.vec_id])
         found += len(set(best) & set(own.vec_id))
     assert found >= 0.95 * 220 and set(got.query_id) == set(range(0, 2200, 100))
+    # equal distances: the 700 copies have the smallest ids first
+    assert list(got[got.query_id == 1600].sort_values("rank").vec_id) == list(range(1500, 1510))
+    assert (got[got.query_id == 1600].score == 0).all()
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (100, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert nearest.neighbours(few, F.col("id") % 100 == 0).groupBy("query_id").count().collect()[0]["count"] == 2
     assert nearest.neighbours(few.limit(0), F.col("id") % 100 == 0).count() == 0
 
 
+def test_nearest_of_repeated_ids(spark):
+    rows = [(100, [1.0, 0.0]), (100, [1.0, 0.0]), (100, [5.0, 5.0]), (7, [1.0, 0.5]), (7, [1.0, 0.5]), (8, [1.0, 0.5]), (9, [0.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest.neighbours(df, F.col("id") % 100 == 0, k=3).orderBy("rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(100, 1, 7, 0.5), (100, 2, 7, 0.5), (100, 3, 8, 0.5)]
+
+
 def test_chi_square():
     assert nearest.chi_square(np.array([20.0902]), 8)[0] == pytest.approx(0.99, abs=1e-4)
     assert nearest.chi_square_quantile(0.95, 2) == pytest.approx(5.9915, abs=1e-3)
