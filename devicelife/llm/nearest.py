@@ -8,8 +8,7 @@ kd-tree over the projections (its splits fitted on a bounded sample) deals
 anything inside it.
 
 A query takes its projected neighbours in growing order, cell by cell: its
-own cell, then the next nearest one, then two, four and so on, always in the
-order of the projected distance to the cell's box. What a round finds
+own cell, then the next three, twelve, 48 and so on, always in the order of the projected distance to the cell's box. What a round finds
 tightens the query's k-th distance d for the next. A query stops when the
 next cell lies at a projected distance r with ``chi2(r^2 / d^2) >= stop``: a
 vector nearer than d would show such a projected distance with probability
@@ -200,28 +199,40 @@ def neighbours(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "
     found = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
 
     def verify(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         if not len(queries) or not len(vectors):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return none
         ids, vec, proj = vectors.id.to_numpy(), np.stack(vectors.vec.to_numpy()), np.stack(vectors.proj.to_numpy())
-        out = []
-        for q in queries.itertuples():
-            near = np.sqrt(((proj - q.proj) ** 2).sum(axis=1))
-            order = np.argsort(near, kind="stable")
-            order = order[ids[order] != q.id]
-            own, limit, at, step = np.zeros(0), q.limit, 0, 4 * k
-            while at < len(order):
-                # as many more as the test allows at the distance known now
-                end = min(at + step, int(np.searchsorted(near[order], reach(q.proj, limit), side="right")))
-                if end <= at:
-                    break
-                own = np.concatenate([own, np.sqrt(((vec[order[at:end]] - q.vec) ** 2).sum(axis=1))])
-                if len(own) >= k:
-                    limit = min(limit, float(np.partition(own, k - 1)[k - 1]))
-                at, step = end, 2 * step
-            took = ids[order[:len(own)]]
-            best = np.lexsort((took, own))[:k]
-            out.append(pd.DataFrame({"query_id": np.full(len(best), q.id), "vec_id": took[best], "score": own[best]}))
-        return pd.concat(out)
+        asks, asked_vec, asked_proj = queries.id.to_numpy(), np.stack(queries.vec.to_numpy()), np.stack(queries.proj.to_numpy())
+        limits = queries.limit.to_numpy()
+        names, took, scores = [], [], []
+        for at in range(0, len(asks), 64):
+            part = slice(at, at + 64)
+            near = np.zeros((len(asks[part]), len(ids)))
+            for d in range(dims):
+                near += (asked_proj[part, d, None] - proj[:, d]) ** 2
+            near = np.sqrt(near)
+            meets = (near <= reach(asked_proj[part], limits[part])[:, None]) & (asks[part, None] != ids)
+            for i in np.flatnonzero(meets.any(axis=1)):
+                order = np.flatnonzero(meets[i])
+                order = order[np.argsort(near[i, order], kind="stable")]
+                own, limit, step = np.zeros(0), limits[at + i], 4 * k
+                while len(own) < len(order):
+                    # as many more as the test allows at the distance known now
+                    end = len(own) + int(np.searchsorted(near[i, order[len(own):len(own) + step]], reach(asked_proj[at + i], limit), side="right"))
+                    if end == len(own):
+                        break
+                    own = np.concatenate([own, np.sqrt(((vec[order[len(own):end]] - asked_vec[at + i]) ** 2).sum(axis=1))])
+                    if len(own) >= k:
+                        limit = min(limit, float(np.partition(own, k - 1)[k - 1]))
+                    step *= 2
+                best = np.lexsort((ids[order[:len(own)]], own))[:k]
+                names.append(np.full(len(best), asks[at + i]))
+                took.append(ids[order[best]])
+                scores.append(own[best])
+        if not names:
+            return none
+        return pd.DataFrame({"query_id": np.concatenate(names), "vec_id": np.concatenate(took), "score": np.concatenate(scores)})
 
     size = cut(points.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("vn")))
 
@@ -247,5 +258,5 @@ def neighbours(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "
         limit = best.groupBy("query_id").agg(F.when(F.count("*") >= k, F.max("score")).otherwise(float("inf")).alias("limit"))
         asked = asked.drop("limit").join(limit, asked.id == limit.query_id, "left").select(
             "id", "vec", "proj", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
-        first, last = last, 2 * last
+        first, last = last, 4 * last
     return best.withColumn("rank", F.row_number().over(by_score)).select("query_id", "rank", "vec_id", "score")
