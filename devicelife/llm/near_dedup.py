@@ -45,8 +45,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
-from .common import GOLDEN, U64, codepoints, cut, mix64, run_hashes, runs, slabs, unit
-from .graph import components
+from .common import FEW, GOLDEN, U64, codepoints, counted, cut, mix64, run_hashes, runs, slabs, unit
+from .graph import roots
 
 
 def shingles(texts: list[str], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,11 +171,11 @@ def _sets(docs: DataFrame, text_col: str, wanted: DataFrame, size: int) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), batch.column(1)], names=digests.fieldNames())
 
     # one row of each wanted class: the one with the class's chosen id (copies have the same words)
-    ids = wanted.select(F.col("_rep").alias("_want")).distinct()
+    ids = wanted.select(F.col("_rep").alias("_want"))
     rows = docs.join(ids, F.col("_id").eqNullSafe(F.col("_want")), "left_semi").mapInArrow(label, digests)
     rows = rows.join(wanted.select("_class", F.col("_rep").alias("_want")), "_class").filter("_id <=> _want")
     # rows that repeat the id go while the rows still lie by class: the sets themselves are not shuffled
-    return cut(rows.select("_class", "_text").dropDuplicates(["_class"]).mapInArrow(run, schema))
+    return counted(rows.select("_class", "_text").dropDuplicates(["_class"]).mapInArrow(run, schema), 2_000)[0]
 
 
 def _weights(names: np.ndarray, raw: bytes) -> np.ndarray:
@@ -187,6 +187,10 @@ _LINK = StructType([StructField("a", BinaryType()), StructField("b", BinaryType(
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The components (a, b) of the pairs of classes (a, b of components ca, cb) whose probability Jaccard is at least ``similarity``."""
+    pairs, n = counted(pairs)
+    if n <= FEW:                                             # only the sets of few pairs move
+        sets = sets.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("_class"))), "_class", "left_semi")
+        pairs = F.broadcast(pairs)
     left = sets.select(F.col("_class").alias("a"), F.col("_names").alias("an"), F.col("_counts").alias("ac"))
     right = sets.select(F.col("_class").alias("b"), F.col("_names").alias("bn"), F.col("_counts").alias("bc"))
 
@@ -206,26 +210,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("ca", "cb", "an", "ac", "bn", "bc").mapInArrow(run, _LINK)
 
 
-def _joined(open_: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Give the rows of ``open_`` the components that links between components make; also the renamed components."""
-    roots = cut(components(links).select(F.col("node").alias("_comp"), F.col("component").alias("_root")))
-    moved = open_.join(roots, "_comp", "left").withColumn("_comp", F.coalesce("_root", "_comp")).select(*open_.columns)
-    return moved, roots
+def _moves(links: DataFrame) -> DataFrame:
+    """The components that links between components rename, and their new names."""
+    found, n = roots(links)
+    moves = found.select(F.col("node").alias("_comp"), F.col("component").alias("_root"))
+    return F.broadcast(moves) if n <= FEW else moves
 
 
-def _mixed(open_: DataFrame) -> DataFrame:
-    """The keys that still hold more than one component."""
+def _moved(rows: DataFrame, moves: DataFrame) -> DataFrame:
+    return rows.join(moves, "_comp", "left").withColumn("_comp", F.coalesce("_root", "_comp")).select(*rows.columns)
+
+
+def _mixed(open_: DataFrame) -> tuple[DataFrame, int]:
+    """The keys that still hold more than one component, and how many rows they have."""
     keys = open_.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).filter("_lo <> _hi").select("_key")
-    return cut(open_.join(keys, "_key"))
+    return counted(open_.join(keys, "_key"))
 
 
-def _leader_rounds(open_: DataFrame, steps: list[DataFrame], sets: DataFrame, similarity: float, rounds: int, central: bool) -> DataFrame:
+def _leader_rounds(open_: DataFrame, steps: list[DataFrame], sets: DataFrame, similarity: float, rounds: int, central: bool) -> tuple[DataFrame, int]:
     """Verify each class of ``open_`` (_class, _key, _n: members of the key, _comp) against one leader a
-    round and join components. Returns what is still open; ``steps`` grows by the components renamed in each
+    round and join components. Returns what is still open and its rows; ``steps`` grows by the components renamed in each
     round, so that a round only handles links between components that were still apart.
 
     ``central``: leaders are classes that meet many others, as those near the middle of a group do;
     otherwise a class takes the leader of any of its keys, another one each round."""
+    left = 1                                                 # without a round all may be open
     for turn in range(rounds):
         if central:
             degree = open_.groupBy("_class").agg((-F.floor(F.log2(F.sum("_n")))).alias("_first"))
@@ -234,14 +243,13 @@ def _leader_rounds(open_: DataFrame, steps: list[DataFrame], sets: DataFrame, si
             ranked = open_.withColumn("_first", F.xxhash64("_key", F.lit(turn)))
         rank = F.struct("_first", F.xxhash64("_class", F.lit(turn)))
         led = ranked.groupBy("_key").agg(F.min(F.struct(rank.alias("_rank"), "_class", "_comp")).alias("_lead"))
-        pairs = (open_.join(led, "_key").filter("_comp <> _lead._comp").groupBy(F.col("_class").alias("a"), F.col("_comp").alias("ca"))
-                 .agg(F.min("_lead").alias("_lead")).select("a", "ca", F.col("_lead._class").alias("b"), F.col("_lead._comp").alias("cb")))
-        open_, roots = _joined(open_, _verified(pairs, sets, similarity))
-        steps.append(roots)
-        open_ = _mixed(open_)
-        if open_.isEmpty():
+        pairs = (open_.join(led, "_key").filter("_comp <> _lead._comp").groupBy(F.col("_class").alias("a"))
+                 .agg(F.min("_comp").alias("ca"), F.min("_lead").alias("_lead")).select("a", "ca", F.col("_lead._class").alias("b"), F.col("_lead._comp").alias("cb")))
+        steps.append(_moves(_verified(pairs, sets, similarity)))
+        open_, left = _mixed(_moved(open_, steps[-1]))
+        if not left:
             break
-    return open_
+    return open_, left
 
 
 def _prefixes(classes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -304,7 +312,7 @@ def _remaining_pairs(prefix: DataFrame, similarity: float) -> DataFrame:
 def _verified_together(pairs: DataFrame, sets: DataFrame, similarity: float, members: int = 512) -> DataFrame:
     """:func:`_verified` for many pairs among the classes of a place: a set moves once per place and block of
     ``members`` classes, not once per pair."""
-    pairs = cut(pairs)
+    pairs, _ = counted(pairs)
     classes = pairs.select("place", F.col("a").alias("_class")).unionByName(pairs.select("place", F.col("b").alias("_class"))).distinct()
     blocks = classes.groupBy("place").agg(F.ceil(F.count("*") / members).alias("_blocks"))
     at = lambda c: F.pmod(F.xxhash64(c), F.col("_blocks"))
@@ -334,28 +342,27 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id of the group), group_size (rows of the group), kept (id is the group's; one of repeated rows)."""
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     signed = cut(_signed(src, "_id", "_text", bands, rows, shingle))
-    classes = cut(signed.groupBy("_class").agg(F.min("_id").alias("_rep"), F.count("*").alias("_rows"),
-                                               F.first("_any").alias("_any"), F.first("_bands").alias("_bands")))
+    classes, _ = counted(signed.groupBy("_class").agg(F.min("_id").alias("_rep"), F.count("*").alias("_rows"),
+                                                      F.first("_any").alias("_any"), F.first("_bands").alias("_bands")))
     # buckets of two classes or more
     member = classes.filter("_any").select("_class", F.explode("_bands").alias("_key"))
     shared = member.groupBy("_key").agg(F.count("*").alias("_n")).filter("_n > 1")
-    member = cut(member.join(shared, "_key"))
+    member, _ = counted(member.join(shared, "_key"))
     sets = _sets(src, "_text", classes.join(member.select("_class").distinct(), "_class", "left_semi"), shingle)
 
     steps: list[DataFrame] = []
-    open_ = _leader_rounds(member.withColumn("_comp", F.col("_class")), steps, sets, similarity, leader_rounds, central=True)
-    if not open_.isEmpty():
+    open_, left = _leader_rounds(member.withColumn("_comp", F.col("_class")), steps, sets, similarity, leader_rounds, central=True)
+    if left:
         # what band leaders did not join: the same by shared prefix shingles, then all pairs that remain
-        prefix = cut(_prefixes(open_.select("_class").distinct(), sets, similarity))
+        prefix, _ = counted(_prefixes(open_.select("_class").distinct(), sets, similarity))
         named = prefix.join(open_.select("_class", "_comp").distinct(), "_class").withColumnsRenamed({"_name": "_key", "_df": "_n"})
-        open_ = _leader_rounds(_mixed(named), steps, sets, similarity, 1, central=False)
-        if not open_.isEmpty():
+        open_, left = _leader_rounds(_mixed(named)[0], steps, sets, similarity, 1, central=False)
+        if left:
             pairs = _remaining_pairs(open_.withColumnRenamed("_key", "_name"), similarity)
-            steps.append(cut(components(_verified_together(pairs, sets, similarity)).select(
-                F.col("node").alias("_comp"), F.col("component").alias("_root"))))
+            steps.append(_moves(_verified_together(pairs, sets, similarity)))
     grouped = classes.select("_class", "_rep", "_rows", F.col("_class").alias("_comp"))
-    for roots in steps:
-        grouped = grouped.join(roots, "_comp", "left").select("_class", "_rep", "_rows", F.coalesce("_root", "_comp").alias("_comp"))
+    for moves in steps:
+        grouped = _moved(grouped, moves)
     grouped = cut(grouped)
     summary = grouped.groupBy("_comp").agg(F.min("_rep").alias("group_id"), F.sum("_rows").alias("group_size"))
     named = grouped.join(summary, "_comp").select("_class", F.col("_rep").alias("class_id"), "group_id", "group_size")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from devicelife.llm import html_extract, near_dedup, nearest, suffix_dedup
+from devicelife.llm import graph, html_extract, near_dedup, nearest, suffix_dedup
 from devicelife.llm.graph import components
 
 
@@ -77,6 +77,58 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 90 for i in (90, 95, 97, 100)}}
 
 
+def test_components_of_random_graphs(spark, monkeypatch):
+    for few in (20_000, 3):                                  # minima broadcast, minima shuffled
+        monkeypatch.setattr(graph, "FEW", few)
+        for seed in range(2):
+            rng = random.Random(seed)
+            edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+            edges += edges[:50] + [(400, 400), (None, 7), (7, None), (None, None)] + [(500, k) for k in range(501, 540)]
+            low = {x: x for e in edges for x in e if None not in e and e[0] != e[1]}
+            for _ in range(300):
+                for u, v in edges:
+                    if u in low and v in low:
+                        low[u] = low[v] = min(low[u], low[v])
+            frame = spark.createDataFrame(edges, "a long, b long")
+            got = components(frame).collect()
+            assert len(got) == len(low) and {r.node: r.component for r in got} == low
+            found, n = graph.roots(frame)
+            assert {r.node: r.component for r in found.collect()} == {k: v for k, v in low.items() if k != v} and found.count() == n
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def tasks_of(spark, run):
+    """How many tasks the jobs of ``run`` completed."""
+    sc = spark.sparkContext
+
+    def mark():
+        sc.setJobGroup("mark", "")
+        spark.range(1, numPartitions=1).rdd.count()
+        tracker = sc.statusTracker()
+        return max(s for j in tracker.getJobIdsForGroup("mark") for s in tracker.getJobInfo(j).stageIds)
+    first = mark()
+    run()
+    infos = [sc.statusTracker().getStageInfo(s) for s in range(first + 1, mark())]
+    return sum(i.numCompletedTasks for i in infos if i is not None)
+
+
+def test_small_graphs_take_few_tasks(spark):
+    """Each task that feeds a shuffle leaves files on disk, however small: a few edges must not make thousands."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found: list = []
+        frame = spark.createDataFrame([(i, i // 2) for i in range(1, 60)], "a long, b long")
+        n = tasks_of(spark, lambda: found.extend(components(frame).collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.node: r.component for r in found} == {i: 0 for i in range(60)}
+    assert n < 64 * 30, n
+
+
 def brute_suffix(rows):
     order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
     seen, out = set(), {}
