@@ -21,10 +21,13 @@ their weighted sets.
   component then counts as one node, and only buckets that still hold more
   than one go on. Classes left after ``leader_rounds`` are searched exactly
   across components by shingle prefixes (:func:`_prefixes`), again leaders
-  first, then all pairs that remain, each once, gathered by a common prefix
-  shingle so that the sets of their classes are read once for many pairs. So
-  every candidate pair is inside one group, verified, or ruled out: no link
-  is lost.
+  first. Near copies of one text share most shingles, so a shingle of many
+  classes tells little: such classes are compared by what sets them apart
+  from a centre of theirs (:func:`_apart`), and meet only in differences
+  they share. The pairs that remain are verified, each once, gathered by a
+  common shingle or centre so that the sets of their classes are read once for
+  many pairs. So every candidate pair is inside one group, verified, or ruled
+  out: no link is lost.
 
 Recall: with 25 bands of 5 a pair of similarity 0.8 is a candidate with
 probability 0.99995.
@@ -293,12 +296,14 @@ def _prefixes(classes: DataFrame, sets: DataFrame, similarity: float) -> DataFra
 
 
 def _remaining_pairs(prefix: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of classes in different components that share a prefix shingle and can reach the similarity.
+    """Pairs of classes in different components that first share a prefix shingle of few classes and can reach the similarity.
 
     Each pair comes once, from the first of its common prefix shingles in the order of the prefixes: only there the
-    positions bound what can follow. Its ``place`` is the smallest common one, where the pairs of a group gather."""
+    positions bound what can follow. Its ``place`` is the smallest common one, where the pairs of a group gather.
+    Pairs whose first one has ``MANY`` classes or more are those of :func:`_apart_pairs`."""
     order = F.transform(F.sort_array(F.collect_list(F.struct("_n", "_name"))), lambda x: x["_name"])
-    rows = prefix.join(prefix.groupBy("_class").agg(order.alias("_all")), "_class")
+    few = prefix.groupBy("_name").agg(F.count("*").alias("_held")).filter(F.col("_held") < MANY).select("_name")
+    rows = prefix.join(few, "_name").join(prefix.groupBy("_class").agg(order.alias("_all")), "_class")
     a, b = (rows.select("_name", F.col("_class").alias(x), F.col("_comp").alias(f"c{x}"), F.col("_passed").alias(f"{x}p"), F.col("_size").alias(f"{x}n"),
                         F.col("_all").alias(f"{x}all")) for x in "ab")
     # without counts the measure is the Jaccard index: what both have left bounds the common shingles
@@ -309,6 +314,106 @@ def _remaining_pairs(prefix: DataFrame, similarity: float) -> DataFrame:
     return met.filter(F.col("_name") == common[0]).select(F.array_min(common).alias("place"), "a", "b", "ca", "cb")
 
 
+#: Classes of a prefix shingle from which they are compared by their differences from a centre: below, a class makes fewer pairs.
+MANY = 64
+
+
+def differences(x_name: np.ndarray, x: np.ndarray, y_name: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, int]:
+    """A hash for each unit by which the counts x differ from y (shingle, sign, how many-th), and the weight that x
+    has on differing shingles that either holds more than once."""
+    names = np.union1d(x_name, y_name)
+    at_x, at_y = np.zeros(len(names), dtype=np.int64), np.zeros(len(names), dtype=np.int64)
+    at_x[np.searchsorted(names, x_name)] = x
+    at_y[np.searchsorted(names, y_name)] = y
+    more = at_x - at_y
+    found = np.flatnonzero(more)
+    times = np.abs(more[found])
+    which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    signed = mix64(names[found] ^ np.where(more[found] > 0, GOLDEN, U64(0)))
+    return mix64(np.repeat(signed, times) + which.astype(U64) * GOLDEN), int(at_x[(more != 0) & (np.maximum(at_x, at_y) > 1)].sum())
+
+
+def _apart(open_: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, int]:
+    """What sets the classes of shingles with ``MANY`` classes or more apart from the centre of each such shingle:
+    _class, _comp, _centre, _lead (the centre's component), _linked (to the centre), _size (weight), _odd and _units
+    (:func:`differences`), one row per class and centre; and how many rows. Of a shingle's classes the one with the
+    least text of its own is the centre."""
+    many = open_.groupBy("_key").agg(F.count("*").alias("_held")).filter(F.col("_held") >= MANY).select("_key")
+    degree = open_.groupBy("_class").agg(F.min("_passed").alias("_alone"), (-F.sum("_n")).alias("_first"))
+    held = open_.join(many, "_key")
+    rank = F.struct("_alone", "_first", F.xxhash64("_class"))
+    led = held.join(degree, "_class").groupBy("_key").agg(F.min(F.struct(rank.alias("_rank"), "_class", "_comp")).alias("_best"))
+    rows, n = counted(held.join(led, "_key").select("_class", "_comp", F.col("_best._class").alias("_centre"), F.col("_best._comp").alias("_lead")).distinct())
+    if n <= FEW:                                             # only the sets of few classes move
+        sets = sets.join(F.broadcast(rows.select("_class").distinct()), "_class", "left_semi")
+    own = sets.select("_class", F.col("_names").alias("an"), F.col("_counts").alias("ac"))
+    middle = sets.select(F.col("_class").alias("_centre"), F.col("_names").alias("bn"), F.col("_counts").alias("bc"))
+    schema = StructType([*(StructField(c, BinaryType()) for c in ("_class", "_comp", "_centre", "_lead")), StructField("_linked", BooleanType()),
+                         StructField("_size", LongType()), StructField("_odd", LongType()), StructField("_units", ArrayType(LongType()))])
+
+    def run(batches):
+        for batch in batches:
+            an, ac, bn, bc = (batch.column(c) for c in range(4, 8))
+            for lo in range(0, batch.num_rows, 256):
+                linked, sizes, odd, units = [], [], [], []
+                for i in range(lo, min(lo + 256, batch.num_rows)):
+                    x, y = np.frombuffer(an[i].as_py(), dtype=U64), np.frombuffer(bn[i].as_py(), dtype=U64)
+                    xw, yw = _weights(x, ac[i].as_py()), _weights(y, bc[i].as_py())
+                    unit_, weight = differences(x, xw, y, yw)
+                    linked.append(probability_jaccard(x, xw, y, yw) >= similarity)
+                    sizes.append(int(xw.sum()))
+                    odd.append(weight)
+                    units.append(unit_.view(np.int64))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, 256) for c in range(4)), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()),
+                                                  pa.array(odd, pa.int64()), pa.array(units, pa.list_(pa.int64()))], names=schema.fieldNames())
+
+    both = rows.join(own, "_class").join(middle, "_centre")
+    return counted(both.select("_class", "_comp", "_centre", "_lead", "an", "ac", "bn", "bc").mapInArrow(run, schema)) if n else (rows, 0)
+
+
+def _apart_pairs(apart: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of classes in different components that have a centre in common and can reach the similarity.
+
+    With weights X and Y, m the smaller and M the larger, I the weight in common (smaller counts) and V the part of
+    it on shingles whose counts differ, the similarity s is at most ``(I - V) / (X + Y - I) + V / m`` and at most
+    ``I / m``; so ``(1 + s) I >= s (X + Y) - V (M / m - s)``. V is at most what both have as _odd. With
+    ``p`` and ``q`` units of difference from a centre, ``o`` of them the same, ``2 I = X + Y - p - q + 2 o``:
+    this asks for a number of shared units, which as with prefixes bounds where the first one stands, rarest first.
+    Members linked to the centre need no pairs with one another, and the others are so far from it that they must share units."""
+    s = similarity
+    span = apart.groupBy("_centre").agg((F.max("_size") / F.min("_size")).alias("_ratio"))
+    p = F.size("_units")
+    # 2 (units to share) is at least the sum of both classes' _far
+    far = p - F.col("_size") * ((1 - s) / (1 + s)) - F.col("_odd") * (F.col("_ratio") - s) * (2 / (1 + s))
+    rows = apart.join(span, "_centre").withColumn("_p", p).withColumn("_far", far)
+    least = rows.groupBy("_centre", "_comp").agg(F.min("_far").alias("_far"))
+    first = least.groupBy("_centre").agg(F.min(F.struct("_far", F.col("_comp").alias("_of"))).alias("_near"))
+    other = least.join(first, "_centre").filter("_comp <> _near._of").groupBy("_centre", "_near").agg(F.min("_far").alias("_next"))
+    rows = rows.join(other, "_centre").withColumn("_least", (F.col("_far") + F.when(F.col("_comp") == F.col("_near._of"), F.col("_next")).otherwise(F.col("_near._far"))) / 2)
+    rows, _ = counted(rows.select("_class", "_comp", "_centre", "_size", "_odd", "_p", "_least", "_units"))
+
+    unit_ = rows.select("_class", "_centre", F.explode("_units").alias("_unit"))
+    common = unit_.groupBy("_centre", "_unit").agg(F.count("*").alias("_df"))
+    order = Window.partitionBy("_centre", "_class").orderBy("_df", "_unit")
+    placed = unit_.join(common, ["_centre", "_unit"]).withColumn("_left", F.row_number().over(order)).filter("_df > 1")
+    placed = placed.join(rows.drop("_units"), ["_centre", "_class"]).withColumn("_left", F.col("_p") - F.col("_left") + 1)
+    placed = placed.filter(F.col("_left") >= F.col("_least") - 1e-6)
+
+    def side(t: DataFrame, x: str) -> DataFrame:
+        names = {"_class": x, "_comp": f"c{x}", "_size": f"{x}n", "_odd": f"{x}v", "_p": f"{x}p", "_left": f"{x}l"}
+        return t.withColumnsRenamed({k: v for k, v in names.items() if k in t.columns}).drop("_least", "_units", "_df")
+
+    small, large, total = F.least("an", "bn"), F.greatest("an", "bn"), F.col("an") + F.col("bn")
+    needed = F.greatest(s * small, (s * total - (F.col("av") + F.col("bv")) * (large / small - s)) / (1 + s))
+    share = needed - (total - F.col("ap") - F.col("bp")) / 2 - 1e-6
+    met = side(placed, "a").join(side(placed, "b"), ["_centre", "_unit"]).filter((F.col("ca") < F.col("cb")) & (F.least("al", "bl") >= share))
+    # those that need not share any
+    near = rows.filter("_least <= 1e-6")
+    near = side(near, "a").join(side(near, "b"), "_centre").filter((F.col("ca") < F.col("cb")) & (share <= 0))
+    pair = [F.xxhash64("_centre").alias("place"), "a", "b", "ca", "cb"]
+    return met.select(*pair).unionByName(near.select(*pair))
+
+
 def _verified_together(pairs: DataFrame, sets: DataFrame, similarity: float, members: int = 512) -> DataFrame:
     """:func:`_verified` for many pairs among the classes of a place: a set moves once per place and block of
     ``members`` classes, not once per pair."""
@@ -358,7 +463,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         named = prefix.join(open_.select("_class", "_comp").distinct(), "_class").withColumnsRenamed({"_name": "_key", "_df": "_n"})
         open_, left = _leader_rounds(_mixed(named)[0], steps, sets, similarity, 1, central=False)
         if left:
+            apart, many = _apart(open_, sets, similarity)
+            if many:
+                steps.append(_moves(apart.filter("_linked and _comp <> _lead").select(F.col("_comp").alias("a"), F.col("_lead").alias("b"))))
+                open_, _ = _mixed(_moved(open_, steps[-1]))
             pairs = _remaining_pairs(open_.withColumnRenamed("_key", "_name"), similarity)
+            if many:
+                pairs = pairs.unionByName(_apart_pairs(_moved(apart, steps[-1]), similarity))
+                pairs = pairs.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("place", "ca", "cb")])
             steps.append(_moves(_verified_together(pairs, sets, similarity)))
     grouped = classes.select("_class", "_rep", "_rows", F.col("_class").alias("_comp"))
     for moves in steps:

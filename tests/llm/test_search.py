@@ -56,6 +56,57 @@ def test_near_groups_equal_brute_force(spark):
     assert near_dedup.near_groups(df.limit(0)).count() == 0
 
 
+def edited_copies(n, seed):
+    """Copies of one text of 150 words, a line of ten words in it three times more, with up to eight edits each."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(120)]
+    base += base[10:20] * 3
+    texts = []
+    for _ in range(n):
+        t = list(base)
+        for _ in range(rng.randrange(9)):
+            k, edit = rng.randrange(len(t)), rng.choice("wwdi")
+            t[k:k + (edit != "i")] = [] if edit == "d" else [word()]
+        texts.append(" ".join(t + base[10:20] * (rng.random() < 0.3)))
+    return texts
+
+
+def test_many_near_copies_leave_few_pairs(spark, monkeypatch):
+    texts = edited_copies(400, 2)
+    seen, verify = [], near_dedup._verified_together
+    monkeypatch.setattr(near_dedup, "_verified_together", lambda pairs, *a, **k: seen.append(pairs.count()) or verify(pairs, *a, **k))
+    got = {r.doc_id: r.group_id for r in near_dedup.near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    value, weight, at = near_dedup.shingles(texts)
+    sets = [(value[at[i]:at[i + 1]], weight[at[i]:at[i + 1]]) for i in range(len(texts))]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and near_dedup.probability_jaccard(*sets[i], *sets[j]) >= 0.8:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert [got[i] for i in range(len(texts))] == group
+    assert 100 < len(set(group)) < 300
+    assert sum(seen) < 10_000                                # all that lie apart: over 30,000
+
+
+def test_shared_differences_bound_the_similarity():
+    texts = edited_copies(80, 5) + [" ".join(t.split()[:k] * 2) for t, k in zip(edited_copies(12, 6), range(70, 130, 5))]
+    value, weight, at = near_dedup.shingles(texts)
+    sets = [(value[at[i]:at[i + 1]], weight[at[i]:at[i + 1]]) for i in range(len(texts))]
+    for centre in (0, 7, 85):
+        apart = [near_dedup.differences(*s, *sets[centre]) for s in sets]
+        for i in range(len(texts)):
+            for j in range(i):
+                (p, v), (q, w), x, y = apart[i], apart[j], sets[i][1].sum(), sets[j][1].sum()
+                common = (x + y - len(p) - len(q)) / 2 + len(np.intersect1d(p, q))
+                _, a, b = np.intersect1d(sets[i][0], sets[j][0], return_indices=True)
+                assert common == np.minimum(sets[i][1][a], sets[j][1][b]).sum()
+                s = near_dedup.probability_jaccard(*sets[i], *sets[j])
+                assert common >= s * min(x, y) - 1e-6
+                assert (1 + s) * common >= s * (x + y) - (v + w) * (max(x, y) / min(x, y) - s) - 1e-6
+
+
 def test_probability_jaccard():
     x, y = np.array([3.0, 1, 0, 2]), np.array([1.0, 1, 4, 0])
     want = sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in range(4)) for i in range(4) if x[i] and y[i])
