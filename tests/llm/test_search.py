@@ -227,6 +227,31 @@ def test_refinement_names_equal_strings():
     assert len(set(names.values())) == len(names)
 
 
+def test_only_strings_that_share_a_hash_are_refined(monkeypatch):
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    common = word(130)
+    parts = [word(rng.randint(100, 176)) for _ in range(300)] + [word(20) + common + word(20) for _ in range(50)]
+    data, size = "".join(parts).encode(), np.array([len(p) for p in parts])
+    refined, real = [], suffix_dedup._pointers
+    monkeypatch.setattr(suffix_dedup, "_pointers", lambda d, s: (refined.append(len(d)), real(d, s))[1])
+
+    def exact():
+        at, number = suffix_dedup.refine(data, size)
+        strings = [data[p:p + 100] for p in at.tolist()]
+        assert len(at) == sum(n - 99 for n in size) and len(set(zip(strings, number.tolist()))) == len(set(strings)) == len(set(number.tolist()))
+
+    exact()
+    assert sum(refined) < len(data) / 5                # around the piece they share, not the other bytes
+    refined.clear()
+    # strings that only share the hash are told apart
+    monkeypatch.setattr(suffix_dedup, "_window_hash", lambda raw, at: at % 7)
+    exact()
+    assert refined == [len(data)]
+    monkeypatch.undo()
+    assert len(set(suffix_dedup.refine(parts[0].encode(), size[:1])[1].tolist())) == size[0] - 99
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(3)
     vectors = np.concatenate([rng.normal(size=(1500, 16)), np.repeat(rng.normal(size=(1, 16)), 700, axis=0)])
